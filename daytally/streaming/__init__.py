@@ -1,0 +1 @@
+"""Intentionally empty: every input of the engine is a bounded table (see README)."""
