@@ -83,18 +83,15 @@ class IsolationForest:
         height = max(1, math.ceil(math.log2(size)))
         pool = min(n, POOL_FACTOR * self.trees * size)
         wanted = size + 8 * math.sqrt(size) + 64
-        points = df.select(*key, F.array(*_filled(features)).alias("x"))
-        pooled = points.filter(_below_share(F.xxhash64(*key, F.lit(self.seed)), pool / n))
-
-        def draw(tree: Column) -> Column:
-            value = F.xxhash64(*key, tree, F.lit(self.seed))
-            return F.struct(tree.alias("tree"), value.alias("draw"))
-
-        numbers = F.sequence(F.lit(0), F.lit(self.trees - 1))
-        taken = F.filter(
-            F.transform(numbers, draw), lambda d: _below_share(d["draw"], wanted / pool)
+        hashed = F.xxhash64(*key, F.lit(self.seed)).alias("hash")
+        points = df.select(hashed, F.array(*_filled(features)).alias("x"))
+        pooled = points.filter(_below_share(F.col("hash"), pool / n))
+        trees = F.explode(F.sequence(F.lit(0), F.lit(self.trees - 1))).alias("tree")
+        drawn = (
+            pooled.select("hash", "x", trees)
+            .withColumn("draw", F.xxhash64("hash", "tree"))
+            .filter(_below_share(F.col("draw"), wanted / pool))
         )
-        drawn = pooled.select("x", F.inline(taken))
         by_draw = Window.partitionBy("tree").orderBy("draw")
         chosen = drawn.withColumn("place", F.row_number().over(by_draw)).filter(
             F.col("place") <= size
@@ -122,11 +119,15 @@ def _filled(features: list[str]) -> list[Column]:
 
 @dataclass(frozen=True)
 class IsolationModel:
-    """Node arrays of all trees; their size depends on the settings, not on the data."""
+    """Trees as arrays of one row per tree; their size depends on the settings, not on the data.
+
+    A leaf points to itself and has an infinite threshold, so every walk takes ``height`` steps.
+    """
 
     features: list[str]
     feature: np.ndarray
     threshold: np.ndarray
+    left: np.ndarray
     path: np.ndarray
     height: int
     usual_path: float
@@ -136,27 +137,33 @@ class IsolationModel:
         cls, nodes: DataFrame, features: list[str], trees: int, size: int, height: int
     ) -> IsolationModel:
         slots = 2 ** (height + 1) - 1
-        feature = np.full((trees, slots), -1, dtype=np.int32)
-        threshold = np.zeros((trees, slots))
+        feature = np.zeros((trees, slots), dtype=np.int64)
+        threshold = np.full((trees, slots), np.inf)
+        left = np.tile(np.arange(slots), (trees, 1))
         path = np.zeros((trees, slots))
         rows = nodes.toPandas()
-        at = (rows["tree"].to_numpy(), rows["node"].to_numpy())
-        feature[at] = rows["feature"]
-        threshold[at] = rows["threshold"]
-        path[at] = rows["path"]
-        return cls(features, feature, threshold, path, height, mean_path(size))
+        path[rows["tree"], rows["node"]] = rows["path"]
+        inner = rows[rows["feature"] >= 0]
+        at = (inner["tree"], inner["node"])
+        feature[at] = inner["feature"]
+        threshold[at] = inner["threshold"]
+        left[at] = 2 * inner["node"] + 1
+        return cls(features, feature, threshold, left, path, height, mean_path(size))
 
     def score(self, points: np.ndarray) -> np.ndarray:
         """2 to the power of minus the mean path over the usual path; 1 is most isolated."""
-        trees = np.arange(self.feature.shape[0])
-        rows = np.arange(len(points))[:, None]
-        node = np.zeros((len(points), len(trees)), dtype=np.int64)
-        for _ in range(self.height):
-            feature = self.feature[trees, node]
-            right = points[rows, np.maximum(feature, 0)] > self.threshold[trees, node]
-            node = np.where(feature < 0, node, 2 * node + 1 + right)
-        mean = self.path[trees, node].mean(axis=1)
-        return np.exp2(-mean / self.usual_path) if self.usual_path > 0 else np.ones(len(points))
+        if self.usual_path <= 0:
+            return np.ones(len(points))
+        rows = np.arange(len(points))
+        total = np.zeros(len(points))
+        for feature, threshold, left, path in zip(
+            self.feature, self.threshold, self.left, self.path
+        ):
+            node = np.zeros(len(points), dtype=np.int64)
+            for _ in range(self.height):
+                node = left[node] + (points[rows, feature[node]] > threshold[node])
+            total += path[node]
+        return np.exp2(-total / len(self.feature) / self.usual_path)
 
     def transform(self, df: DataFrame, column: str = "isolation_score") -> DataFrame:
         model = df.sparkSession.sparkContext.broadcast(self)

@@ -16,7 +16,8 @@ from daytally.operators.metrics import mean_absolute_error, wrmsse
 from daytally.operators.selection import prediction_frame
 from daytally.schemas import MODEL_FEATURES, TARGET
 
-# Forest size and seed, and the model names in the order that breaks an MAE tie.
+# Forest size and seed, and the names and key prefixes that run logs use, with the
+# boosted model first because it wins a tie.
 FOREST_TREES = 100
 FOREST_SEED = 42
 BOOSTED = "lightgbm"
@@ -56,19 +57,23 @@ def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return prediction_frame(model.transform(rows))
 
 
-def evaluate(name: str, predictions: DataFrame, train: DataFrame) -> DataFrame:
+def evaluate(
+    name: str, predictions: DataFrame, train: DataFrame, hot: DataFrame | None = None
+) -> DataFrame:
     """One row ``(model, mae, wrmsse)``; weights are units, as training has no price in them."""
     actual = predictions.withColumnRenamed("actual", "sales")
     pred = predictions.withColumnRenamed("predicted", "pred")
-    score = wrmsse(actual.drop("predicted"), pred.drop("actual"), train).select("wrmsse")
+    score = wrmsse(actual.drop("predicted"), pred.drop("actual"), train, hot).select("wrmsse")
     scores = {"mae": mean_absolute_error(predictions).scalar(), "wrmsse": score.scalar()}
     one_row = predictions.sparkSession.range(1)
     return one_row.select(F.lit(name).alias("model"), *[c.alias(n) for n, c in scores.items()])
 
 
-def compare(predictions: dict[str, DataFrame], train: DataFrame) -> DataFrame:
+def compare(
+    predictions: dict[str, DataFrame], train: DataFrame, hot: DataFrame | None = None
+) -> DataFrame:
     """Scores of all models, stacked."""
-    first, *rest = [evaluate(name, rows, train) for name, rows in predictions.items()]
+    first, *rest = [evaluate(name, rows, train, hot) for name, rows in predictions.items()]
     for row in rest:
         first = first.unionByName(row)
     return first

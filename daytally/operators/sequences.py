@@ -89,21 +89,24 @@ def _windows(
     frame: DataFrame, encoder: int, horizon: int, hot: DataFrame | None
 ) -> DataFrame:
     """Rows that end a complete encoder and have a complete, gap-free decoder after them."""
-    step = F.struct(*KNOWN_REALS, "sales", *KNOWN_CATEGORIES)
 
     def collect(w: WindowSpec) -> dict[str, Column]:
         first = F.first("time_idx").over(w.rowsBetween(1 - encoder, 0))
         last = F.last("time_idx").over(w.rowsBetween(1, horizon))
         return {
-            "encoder": F.collect_list(step).over(w.rowsBetween(1 - encoder, 0)),
-            "decoder": F.collect_list(step).over(w.rowsBetween(1, horizon)),
+            "encoder": F.collect_list(step_struct()).over(w.rowsBetween(1 - encoder, 0)),
+            "decoder": F.collect_list(step_struct()).over(w.rowsBetween(1, horizon)),
             "_span": last - first,
         }
 
     rows = with_series_windows(frame, collect, back=encoder - 1, ahead=horizon, hot=hot)
     complete = (F.size("encoder") == encoder) & (F.size("decoder") == horizon)
     dense = F.col("_span") == encoder + horizon - 1
-    return rows.filter(complete & dense)
+    return rows.filter(complete & dense).withColumnRenamed("time_idx", "encoder_end_idx")
+
+
+def step_struct() -> Column:
+    return F.struct(*KNOWN_REALS, "sales", *KNOWN_CATEGORIES)
 
 
 def _described(windows: DataFrame, scaling: DataFrame, encoder: int, horizon: int) -> DataFrame:
@@ -111,8 +114,7 @@ def _described(windows: DataFrame, scaling: DataFrame, encoder: int, horizon: in
     return windows.join(scaling, GROUP).select(
         *GROUP,
         *STATIC,
-        F.col("date").alias("encoder_end"),
-        F.col("time_idx").alias("encoder_end_idx"),
+        "encoder_end_idx",
         F.size("encoder").alias("encoder_length"),
         relative.alias("relative_idx"),
         "target_center",
@@ -137,7 +139,7 @@ def training_windows(
     train = before_cutoff(frame, horizon)
     windows = _windows(train, encoder, horizon, hot)
     if stride > 1:
-        windows = windows.filter((F.col("time_idx") - (encoder - 1)) % stride == 0)
+        windows = windows.filter((F.col("encoder_end_idx") - (encoder - 1)) % stride == 0)
     return _described(windows, target_scaling(train), encoder, horizon)
 
 
@@ -146,12 +148,24 @@ def validation_windows(
 ) -> DataFrame:
     """The last window of each series: its decoder is the series' final ``horizon`` days.
 
-    Only the last encoder + horizon rows of a series are kept before collecting; the rank limit
-    is applied before the shuffle as well.
+    At most encoder + horizon rows per series are gathered; the rank limit drops the others
+    before the shuffle.
     """
+    length = encoder + horizon
     newest = Window.partitionBy(*GROUP).orderBy(F.desc("time_idx"))
-    tail = frame.withColumn("_age", F.row_number().over(newest)).filter(
-        F.col("_age") <= encoder + horizon
+    steps = F.sort_array(F.collect_list(step_struct()))
+    tails = (
+        frame.withColumn("_age", F.row_number().over(newest))
+        .filter(F.col("_age") <= length)
+        .groupBy(*GROUP, *STATIC)
+        .agg(steps.alias("_steps"), (F.max("time_idx") - F.min("time_idx")).alias("_span"))
+        .filter((F.size("_steps") == length) & (F.col("_span") == length - 1))
+    )
+    windows = tails.withColumns(
+        {
+            "encoder": F.slice("_steps", 1, encoder),
+            "decoder": F.slice("_steps", encoder + 1, horizon),
+            "encoder_end_idx": F.get("_steps", F.lit(encoder - 1))["time_idx"],
+        }
     )
-    windows = _windows(tail.drop("_age"), encoder, horizon, None)
     return _described(windows, target_scaling(before_cutoff(frame, horizon)), encoder, horizon)

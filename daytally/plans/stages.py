@@ -43,18 +43,45 @@ class Settings:
     isolation: IsolationForest = IsolationForest()
     z_threshold: float = Z_THRESHOLD
     max_series_rows: int = MAX_SERIES_ROWS
-    partitions: int | None = None
 
 
 @dataclass(frozen=True)
-class Paths:
-    """Stored tables below one folder on shared storage."""
+class Store:
+    """Stored tables below one folder on shared storage.
+
+    Panel tables are kept whole per series. With a catalog ``schema`` they are bucketed by series,
+    so no later stage shuffles them; without one they are plain files, foldered by state.
+    """
 
+    spark: SparkSession
     root: str
+    schema: str | None = None
+    partitions: int | None = None
+
+    @property
+    def buckets(self) -> int:
+        return self.partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
     def at(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        files.write_table(df, self.at(name))
+        return self.read(name)
+
+    def read(self, name: str) -> DataFrame:
+        return files.read_table(self.spark, self.at(name))
+
+    def write_panel(self, df: DataFrame, name: str) -> DataFrame:
+        if self.schema:
+            files.write_bucketed(df, f"{self.schema}.{name}", self.at(name), self.buckets)
+        else:
+            files.write_table(df, self.at(name), LAYOUT)
+        return self.read_panel(name)
+
+    def read_panel(self, name: str) -> DataFrame:
+        return self.spark.table(f"{self.schema}.{name}") if self.schema else self.read(name)
+
 
 @dataclass
 class Outcome:
@@ -64,80 +91,73 @@ class Outcome:
     anomalies: str = ""
 
 
-def ingest(spark: SparkSession, raw: RawFiles, paths: Paths, settings: Settings) -> dict[str, int]:
+def ingest(store: Store, raw: RawFiles) -> dict[str, int]:
     """CSV files to three tables; counts come from the stored tables and one count of the input.
 
-    Nothing is cached between runs, so changed files are always read.
+    The compact wide rows and the prices are hashed by series once; the long rows, a thousand
+    times as many, are never shuffled. Nothing is cached between runs, so changed files are
+    always read.
     """
+    spark, n = store.spark, store.buckets
     wide = files.read_sales_csv(spark, raw.sales)
     calendar = reshape.parse_calendar(files.read_calendar_csv(spark, raw.calendar))
-    prices = files.read_prices_csv(spark, raw.prices)
-    files.write_table(calendar, paths.at("calendar"))
-    files.write_table(prices, paths.at("prices"))
-    calendar = files.read_table(spark, paths.at("calendar"))
-    prices = files.read_table(spark, paths.at("prices"))
-    long = reshape.unpivot_days(wide, settings.partitions)
-    joined = reshape.join_calendar_prices(long, calendar, prices, settings.partitions)
-    files.write_table(joined, paths.at("sales_long"), LAYOUT)
-    stored = files.read_table(spark, paths.at("sales_long"))
-    quality.require_unique_rows(stored)
+    calendar = store.write(calendar, "calendar")
+    prices = store.write(files.read_prices_csv(spark, raw.prices), "prices")
+    long = reshape.unpivot_days(wide, n)
+    joined = store.write_panel(reshape.join_calendar_prices(long, calendar, prices, n), "sales_long")
+    quality.require_unique_rows(joined)
     return {
         "sales_long_rows": wide.count() * len(reshape.day_columns(wide)),
-        "joined_rows": stored.count(),
+        "joined_rows": joined.count(),
         "calendar_rows": calendar.count(),
         "prices_rows": prices.count(),
     }
 
 
-def build_features(spark: SparkSession, paths: Paths, settings: Settings) -> DataFrame:
-    sales_long = files.read_table(spark, paths.at("sales_long")).select(*PASS_THROUGH)
+def build_features(store: Store, settings: Settings) -> DataFrame:
+    sales_long = store.read_panel("sales_long").select(*PASS_THROUGH)
     hot = hot_series(sales_long, max_rows=settings.max_series_rows)
-    files.write_table(feature_table(sales_long, hot), paths.at("feature_table"), LAYOUT)
-    return files.read_table(spark, paths.at("feature_table"))
+    return store.write_panel(feature_table(sales_long, hot), "feature_table")
 
 
-def check_features(spark: SparkSession, paths: Paths, settings: Settings) -> DataFrame:
+def check_features(store: Store, settings: Settings) -> DataFrame:
     """Report of all checks; a failed one stops the run."""
-    features = files.read_table(spark, paths.at("feature_table"))
-    report = quality.quality_report(features, settings.limits)
-    files.write_table(report, paths.at("quality_report"))
-    return quality.enforce(files.read_table(spark, paths.at("quality_report")))
+    report = quality.quality_report(store.read_panel("feature_table"), settings.limits)
+    return quality.enforce(store.write(report, "quality_report"))
 
 
-def train(spark: SparkSession, paths: Paths, settings: Settings) -> str:
+def train(store: Store, settings: Settings) -> str:
     """Fit both models on the subset, keep the better one, store its validation predictions."""
-    features = files.read_table(spark, paths.at("feature_table"))
+    features = store.read_panel("feature_table")
     subset = selection.store_top_items(features, settings.state, settings.store, settings.top_n)
-    parts = selection.split_by_date(
+    train_part, val_part = selection.split_by_date(
         subset, settings.train_end, settings.val_start, settings.val_end
     )
-    names = ["train_rows", "val_rows"]
-    for part, name in zip(parts, names):
-        files.write_table(selection.complete_rows(part), paths.at(name))
-    train_rows, val_rows = (files.read_table(spark, paths.at(name)) for name in names)
+    train_rows = store.write(selection.complete_rows(train_part), "train_rows")
+    val_rows = store.write(selection.complete_rows(val_part), "val_rows")
 
     learners = {BOOSTED: settings.boosting, FOREST: settings.forest}
     fitted = {name: learner.fit(train_rows) for name, learner in learners.items()}
-    scored = {}
-    for name, model in fitted.items():
-        files.write_table(models.predict(model, val_rows), paths.at(f"predictions_{name}"))
-        scored[name] = files.read_table(spark, paths.at(f"predictions_{name}"))
-    files.write_table(models.compare(scored, train_rows), paths.at("scores"))
-    scores = files.read_table(spark, paths.at("scores"))
+    scored = {
+        name: store.write(models.predict(model, val_rows), f"predictions_{name}")
+        for name, model in fitted.items()
+    }
+    hot = hot_series(train_rows, max_rows=settings.max_series_rows)
+    scores = store.write(models.compare(scored, train_rows, hot), "scores")
     best = models.best_model(scores).first()["model"]
 
-    models.keep_model(fitted[FOREST], paths.at("models/forest"))
-    models.keep_model(fitted[best], paths.at("models/best"))
+    models.keep_model(fitted[FOREST], store.at("models/forest"))
+    models.keep_model(fitted[best], store.at("models/best"))
     if best == BOOSTED:
-        models.keep_model(fitted[best], paths.at("models/registered"))
-    files.write_table(scored[best], paths.at("val_predictions"))
-    files.write_csv(scored[best], paths.at("val_predictions_csv"))
+        models.keep_model(fitted[best], store.at("models/registered"))
+    predictions = store.write(scored[best], "val_predictions")
+    files.write_csv(predictions, store.at("val_predictions_csv"))
 
     params = {
         "state_id": settings.state,
         "store_id": settings.store,
         "top_n_items": settings.top_n,
-        "feature_path": paths.at("feature_table"),
+        "feature_path": store.at("feature_table"),
         "target_col": TARGET,
         "feature_cols": MODEL_FEATURES,
         "train_end": settings.train_end,
@@ -154,28 +174,33 @@ def train(spark: SparkSession, paths: Paths, settings: Settings) -> str:
     for row in scores.collect():
         prefix = models.PREFIX[row["model"]]
         metrics |= {f"{prefix}_val_mae": row["mae"], f"{prefix}_wrmsse": row["wrmsse"]}
-    log = models.run_log(spark, uuid.uuid4().hex, params, metrics)
-    models.append_log(log, paths.at("run_log"))
+    log = models.run_log(store.spark, uuid.uuid4().hex, params, metrics)
+    models.append_log(log, store.at("run_log"))
     return best
 
 
-def find_anomalies(spark: SparkSession, paths: Paths, settings: Settings) -> str:
-    predictions = files.read_table(spark, paths.at("val_predictions"))
+def find_anomalies(store: Store, settings: Settings) -> str:
+    predictions = store.read("val_predictions")
+    hot = hot_series(predictions, max_rows=settings.max_series_rows)
+    flagged = detect(predictions, settings.z_threshold, settings.isolation, hot)
+    return files.write_csv(store.write(flagged, "anomalies"), store.at("anomalies_csv"))
+
+
+def anomalies_from_csv(
+    spark: SparkSession, predictions_csv: str, target_csv: str, settings: Settings = Settings()
+) -> str:
+    """Flag stored CSV predictions on their own, without the stages before."""
+    predictions = files.read_predictions_csv(spark, predictions_csv)
     hot = hot_series(predictions, max_rows=settings.max_series_rows)
     flagged = detect(predictions, settings.z_threshold, settings.isolation, hot)
-    files.write_table(flagged, paths.at("anomalies"))
-    stored = files.read_table(spark, paths.at("anomalies"))
-    return files.write_csv(stored, paths.at("anomalies_csv"))
-
-
-def run_all(
-    spark: SparkSession, raw: RawFiles, root: str, settings: Settings = Settings()
-) -> Outcome:
-    paths = Paths(root)
-    outcome = Outcome(row_counts=ingest(spark, raw, paths, settings))
-    build_features(spark, paths, settings)
-    check_features(spark, paths, settings)
-    outcome.best_model = train(spark, paths, settings)
-    outcome.predictions = paths.at("val_predictions")
-    outcome.anomalies = find_anomalies(spark, paths, settings)
+    return files.write_csv(flagged, target_csv)
+
+
+def run_all(store: Store, raw: RawFiles, settings: Settings = Settings()) -> Outcome:
+    outcome = Outcome(row_counts=ingest(store, raw))
+    build_features(store, settings)
+    check_features(store, settings)
+    outcome.best_model = train(store, settings)
+    outcome.predictions = store.at("val_predictions")
+    outcome.anomalies = find_anomalies(store, settings)
     return outcome

@@ -19,6 +19,8 @@ SQL_SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Partition folders hold identifiers; reading "01" back as a number would change them.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # Plans with many columns are built faster without a Python stack trace per expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Files of checkpoints nobody refers to any more are removed.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }

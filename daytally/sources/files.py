@@ -7,7 +7,6 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daytally.schemas import (
@@ -33,8 +32,12 @@ def _found(path: str, read: Callable[[], DataFrame]) -> DataFrame:
         raise
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return _found(path, lambda: spark.read.parquet(path))
+def read_table(
+    spark: SparkSession, path: str, schema: str | T.StructType | None = None
+) -> DataFrame:
+    """Parquet table; a given schema spares the job that infers it."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return _found(path, lambda: reader.parquet(path))
 
 
 def header_names(spark: SparkSession, path: str) -> list[str]:
@@ -96,11 +99,17 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_bucketed(df: DataFrame, table: str, buckets: int, keys: list[str] = SERIES) -> str:
-    """Table bucketed and sorted by series: later windows and joins on the series skip the shuffle."""
+def write_bucketed(
+    df: DataFrame, table: str, path: str, buckets: int, keys: list[str] = SERIES
+) -> str:
+    """Catalog table over ``path``, bucketed and sorted by series.
+
+    Later windows and joins on the series skip the shuffle. Hand in rows that are hashed by
+    ``keys`` into ``buckets`` partitions already: each task then writes one bucket, one file.
+    """
     (
-        df.repartition(buckets, *[F.col(k) for k in keys])
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
+        .option("path", path)
         .bucketBy(buckets, *keys)
         .sortBy(*keys, "date")
         .saveAsTable(table)

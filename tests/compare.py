@@ -6,7 +6,6 @@
 from __future__ import annotations
 
 import glob
-import math
 import os
 import sys
 import time
@@ -36,36 +35,26 @@ SAME_TYPE = {
 }
 
 
-def plain(value):
-    if value is None or (isinstance(value, float) and math.isnan(value)):
-        return None
-    return value
-
-
-def sorted_rows(rows) -> list[tuple]:
-    cleaned = [tuple(plain(v) for v in row) for row in rows]
-    return sorted(cleaned, key=lambda row: tuple((v is not None, str(v)) for v in row))
-
-
-def differences(spark_df, relation) -> list[str]:
-    """Empty when row counts, column names, types and all values agree."""
+def differences(spark_df, sql: str, con: duckdb.DuckDBPyConnection) -> list[str]:
+    """Empty when column names, types and all rows (as multisets) agree."""
+    con.register("ours", spark_df.toArrow())
+    con.execute(f"CREATE OR REPLACE TEMP TABLE theirs AS {sql}")
+    theirs = {row[0]: row[1] for row in con.execute("DESCRIBE theirs").fetchall()}
     columns = sorted(spark_df.columns)
-    if columns != sorted(relation.columns):
-        return [f"columns {columns} / {sorted(relation.columns)}"]
-    problems = []
-    theirs = dict(zip(relation.columns, map(str, relation.types)))
-    for name, kind in spark_df.dtypes:
-        if SAME_TYPE.get(kind) != theirs[name]:
-            problems.append(f"type of {name}: {kind} / {theirs[name]}")
-    ours = spark_df.select(*columns).toArrow().to_pylist()
-    left = sorted_rows([r[c] for c in columns] for r in ours)
-    quoted = ", ".join(f'"{c}"' for c in columns)
-    right = sorted_rows(relation.project(quoted).fetchall())
-    if len(left) != len(right):
-        problems.append(f"rows {len(left)} / {len(right)}")
-    wrong = [(a, b) for a, b in zip(left, right) if a != b]
-    if wrong:
-        problems.append(f"{len(wrong)} differing rows, first {wrong[0]}")
+    if columns != sorted(theirs):
+        return [f"columns {columns} / {sorted(theirs)}"]
+    problems = [
+        f"type of {name}: {kind} / {theirs[name]}"
+        for name, kind in spark_df.dtypes
+        if SAME_TYPE.get(kind) != theirs[name]
+    ]
+    named = ", ".join(f'"{c}"' for c in columns)
+    for one, other in (("ours", "theirs"), ("theirs", "ours")):
+        extra = f"SELECT {named} FROM {one} EXCEPT ALL SELECT {named} FROM {other}"
+        count = con.execute(f"SELECT COUNT(*) FROM ({extra})").fetchone()[0]
+        if count:
+            first = con.execute(f"SELECT * FROM ({extra}) ORDER BY ALL LIMIT 1").fetchone()
+            problems.append(f"{count} rows only in {one}, e.g. {first}")
     return problems
 
 
@@ -95,7 +84,7 @@ def main() -> None:
             if sql is None:
                 print(f"{name}: {df.count()} rows, no SQL, {time.time() - started:.1f} s", flush=True)
                 continue
-            problems = differences(df, con.sql(sql))
+            problems = differences(df, sql, con)
         except Exception as error:  # noqa: BLE001
             problems = [f"{type(error).__name__}: {str(error)[:1500]}"]
         bad += bool(problems)
