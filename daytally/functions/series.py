@@ -135,37 +135,36 @@ def fill_both_ways(
     return cold.unionByName(_filled_by_month(hot_rows, column, keys, order))
 
 
+# Without an earlier value, the next one is the first of the whole series. A frame that starts at
+# the current row would find the same and be read anew for every row.
 def _filled(column: str, spec: WindowSpec) -> Column:
     last = F.last(column, ignorenulls=True).over(spec.rowsBetween(Window.unboundedPreceding, 0))
-    first = F.first(column, ignorenulls=True).over(spec.rowsBetween(0, Window.unboundedFollowing))
+    first = F.first(column, ignorenulls=True).over(_whole(spec))
     return F.coalesce(last, first)
 
 
+def _whole(spec: WindowSpec) -> WindowSpec:
+    return spec.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 def _filled_by_month(df: DataFrame, column: str, keys: list[str], order: str) -> DataFrame:
-    """Fill inside each month, then from the nearest month that knows a value."""
+    """Fill inside each month, then from the months before, then from the first known month."""
     month = df.withColumn("_month", month_of(order))
-    known = F.when(F.col(column).isNotNull(), F.col(order))
+    known = F.when(F.col(column).isNotNull(), F.coalesce(F.col(order), F.col("_month")))
     spec = Window.partitionBy(*keys).orderBy("_month")
+    past = F.last("_last", ignorenulls=True).over(spec.rowsBetween(Window.unboundedPreceding, -1))
     carried = (
         month.groupBy(*keys, "_month")
         .agg(F.max_by(column, known).alias("_last"), F.min_by(column, known).alias("_first"))
         .withColumns(
-            {
-                "_past": F.last("_last", ignorenulls=True).over(
-                    spec.rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                "_next": F.first("_first", ignorenulls=True).over(
-                    spec.rowsBetween(1, Window.unboundedFollowing)
-                ),
-            }
+            {"_past": past, "_start": F.first("_first", ignorenulls=True).over(_whole(spec))}
         )
         .drop("_last", "_first")
     )
     inner = by_day([*keys, "_month"], order)
     last = F.last(column, ignorenulls=True).over(inner.rowsBetween(Window.unboundedPreceding, 0))
-    first = F.first(column, ignorenulls=True).over(inner.rowsBetween(0, Window.unboundedFollowing))
     return (
         month.join(carried, [*keys, "_month"])
-        .withColumn(column, F.coalesce(last, F.col("_past"), first, F.col("_next")))
+        .withColumn(column, F.coalesce(last, F.col("_past"), F.col("_start")))
         .select(*df.columns)
     )

@@ -48,7 +48,9 @@ def grow_tree(points: np.ndarray, tree: int, seed: int, height: int) -> pd.DataF
             continue
         feature = int(rng.choice(spread))
         column = inside[:, feature]
-        threshold = float(rng.uniform(column.min(), column.max()))
+        low, high = column.min(), column.max()
+        # Kept below the maximum, which a draw between neighbouring floats could round up to.
+        threshold = float(min(rng.uniform(low, high), np.nextafter(high, low)))
         right = column > threshold
         nodes.append((tree, node, feature, threshold, 0.0))
         pending.append((2 * node + 1, depth + 1, inside[~right]))

@@ -51,9 +51,9 @@ def differences(spark_df, sql: str, con: duckdb.DuckDBPyConnection) -> list[str]
     named = ", ".join(f'"{c}"' for c in columns)
     for one, other in (("ours", "theirs"), ("theirs", "ours")):
         extra = f"SELECT {named} FROM {one} EXCEPT ALL SELECT {named} FROM {other}"
-        count = con.execute(f"SELECT COUNT(*) FROM ({extra})").fetchone()[0]
+        count = con.execute(f"SELECT COUNT(*) FROM ({extra})").fetchall()[0][0]
         if count:
-            first = con.execute(f"SELECT * FROM ({extra}) ORDER BY ALL LIMIT 1").fetchone()
+            first = con.execute(f"SELECT * FROM ({extra}) ORDER BY ALL LIMIT 1").fetchall()[0]
             problems.append(f"{count} rows only in {one}, e.g. {first}")
     return problems
 

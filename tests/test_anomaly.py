@@ -112,6 +112,12 @@ def test_tree_splits_every_distinct_point():
     assert mean_path(256) == pytest.approx(10.244770920116851)
 
 
+def test_neighbouring_floats_are_split():
+    points = np.array([[1.0], [np.nextafter(1.0, 2.0)]])
+    for tree in range(50):
+        assert len(grow_tree(points, tree, 1, height=4)) == 3
+
+
 @pytest.mark.parametrize("q", [0.0, 0.01, 0.5, 0.99, 1.0])
 def test_exact_quantile_matches_sql(spark, q):
     rng = random.Random(11)
@@ -119,7 +125,7 @@ def test_exact_quantile_matches_sql(spark, q):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     con = duckdb.connect()
     con.register("t", df.toArrow())
-    expected = con.execute(f"SELECT quantile_cont(x, {q}) FROM t").fetchone()[0]
+    expected = con.execute(f"SELECT quantile_cont(x, {q}) FROM t").fetchall()[0][0]
     for bins in (2, 16, 4096):
         assert exact_quantile(df, "x", q, bins) == pytest.approx(expected, rel=1e-12)
 
