@@ -74,7 +74,8 @@ def sale_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             *SERIES,
             ship_day().alias("date"),
             F.col("l_quantity").cast("bigint").alias("units"),
-            F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
+            # Half up for positive prices, without the decimal detour of round().
+            F.floor(F.col("l_extendedprice") * 100 + 0.5).alias("cents"),
         )
     )
 

@@ -1,4 +1,4 @@
-"""The full run: ingest, features, checks, training, anomalies. Stages meet in stored tables."""
+"""Ingest, features, checks, training, anomalies, sequences, forecast: stages over stored tables."""
 
 from __future__ import annotations
 
@@ -6,12 +6,14 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daytally.functions.series import MAX_SERIES_ROWS, hot_series
-from daytally.operators import models, quality, reshape, selection
+from daytally.operators import models, quality, reshape, selection, sequences
 from daytally.operators.anomaly import Z_THRESHOLD, detect
 from daytally.operators.boosting import TweedieBoosting
 from daytally.operators.features import feature_table
+from daytally.operators.forecast import horizon_forecast
 from daytally.operators.isolation import IsolationForest
 from daytally.operators.models import BOOSTED, FOREST, Forest
 from daytally.schemas import MODEL_FEATURES, PASS_THROUGH, TARGET
@@ -42,6 +44,9 @@ class Settings:
     boosting: TweedieBoosting = TweedieBoosting()
     isolation: IsolationForest = IsolationForest()
     z_threshold: float = Z_THRESHOLD
+    encoder: int = sequences.ENCODER
+    horizon: int = sequences.HORIZON
+    stride: int = 1
     max_series_rows: int = MAX_SERIES_ROWS
 
 
@@ -186,6 +191,30 @@ def find_anomalies(store: Store, settings: Settings) -> str:
     return files.write_csv(store.write(flagged, "anomalies"), store.at("anomalies_csv"))
 
 
+def build_sequences(store: Store, settings: Settings) -> dict[str, int]:
+    """Training and validation windows of the subset, as tables for a sequence model."""
+    features = store.read_panel("feature_table")
+    subset = selection.store_top_items(features, settings.state, settings.store, settings.top_n)
+    hot = hot_series(subset, max_rows=settings.max_series_rows)
+    frame = store.write(sequences.sequence_frame(subset, hot), "sequence_frame")
+    sequences.require_dense(frame)
+    encoder, horizon = settings.encoder, settings.horizon
+    training = sequences.training_windows(frame, encoder, horizon, settings.stride, hot)
+    validation = sequences.validation_windows(frame, encoder, horizon)
+    return {
+        "training_samples": store.write(training, "training_windows").count(),
+        "validation_samples": store.write(validation, "validation_windows").count(),
+        "n_series": frame.agg(F.count_distinct("series_id")).first()[0],
+    }
+
+
+def forecast_all(store: Store, settings: Settings) -> DataFrame:
+    """Future days of every series with the kept model."""
+    model = models.load_model(store.at("models/best"))
+    sales_long = store.read_panel("sales_long")
+    return store.write(horizon_forecast(sales_long, model, settings.horizon), "forecast")
+
+
 def anomalies_from_csv(
     spark: SparkSession, predictions_csv: str, target_csv: str, settings: Settings = Settings()
 ) -> str:

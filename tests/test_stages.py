@@ -21,6 +21,7 @@ SETTINGS = stages.Settings(
     forest=Forest(trees=4, max_depth=4),
     boosting=TweedieBoosting(rounds=3, learning_rate=0.3, max_depth=3, min_rows=5),
     isolation=IsolationForest(trees=10),
+    stride=50,
 )
 
 
@@ -57,6 +58,12 @@ def test_full_run(spark, raw, tmp_path, schema):
     best = models.load_model(store.at("models/best"))
     again = models.predict(best, store.read("val_rows"))
     assert rows(again, "item_id", "date", "predicted") == rows(predictions, "item_id", "date", "predicted")
+    samples = stages.build_sequences(store, SETTINGS)
+    assert samples["n_series"] == samples["validation_samples"] == 25
+    # Window ends from day 120 to the cutoff less the horizon, thinned by the stride.
+    assert samples["training_samples"] == 25 * len(range(119, 2499 - 2 * 28, SETTINGS.stride))
+    future = stages.forecast_all(store, SETTINGS)
+    assert future.count() == 125 * 28 and future.filter("predicted < 0").isEmpty()
     target = stages.anomalies_from_csv(
         spark, store.at("val_predictions_csv"), str(tmp_path / "flags"), SETTINGS
     )
