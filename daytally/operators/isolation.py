@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,9 @@ POOL_FACTOR = 4
 EULER_GAMMA = 0.5772156649015329
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, path double"
 
+# Functions used inside tasks travel with the task, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def mean_path(rows: int) -> float:
     """Mean depth of an unsuccessful search among ``rows`` points."""
@@ -119,20 +124,39 @@ def _filled(features: list[str]) -> list[Column]:
     return [F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features]
 
 
-@dataclass(frozen=True)
-class IsolationModel:
-    """Trees as arrays of one row per tree; their size depends on the settings, not on the data.
+def isolation_scores(
+    points: np.ndarray,
+    feature: np.ndarray,
+    threshold: np.ndarray,
+    left: np.ndarray,
+    path: np.ndarray,
+    steps: int,
+    usual_path: float,
+) -> np.ndarray:
+    """2 to the power of minus the mean path over the usual path; 1 is most isolated.
 
-    A leaf points to itself and has an infinite threshold, so every walk takes ``height`` steps.
+    The arrays hold one row per tree. A leaf points to itself and has an infinite threshold, so
+    every walk takes the same number of steps.
     """
+    if usual_path <= 0:
+        return np.ones(len(points))
+    rows = np.arange(len(points))
+    total = np.zeros(len(points))
+    for tree in range(len(feature)):
+        node = np.zeros(len(points), dtype=np.int64)
+        for _ in range(steps):
+            right = points[rows, feature[tree][node]] > threshold[tree][node]
+            node = left[tree][node] + right
+        total += path[tree][node]
+    return np.exp2(-total / len(feature) / usual_path)
+
+
+@dataclass(frozen=True)
+class IsolationModel:
+    """Trees as arrays; their size depends on the settings, not on the data."""
 
     features: list[str]
-    feature: np.ndarray
-    threshold: np.ndarray
-    left: np.ndarray
-    path: np.ndarray
-    height: int
-    usual_path: float
+    arrays: dict[str, np.ndarray | int | float]
 
     @classmethod
     def from_nodes(
@@ -150,29 +174,24 @@ class IsolationModel:
         feature[at] = inner["feature"]
         threshold[at] = inner["threshold"]
         left[at] = 2 * inner["node"] + 1
-        return cls(features, feature, threshold, left, path, height, mean_path(size))
-
-    def score(self, points: np.ndarray) -> np.ndarray:
-        """2 to the power of minus the mean path over the usual path; 1 is most isolated."""
-        if self.usual_path <= 0:
-            return np.ones(len(points))
-        rows = np.arange(len(points))
-        total = np.zeros(len(points))
-        for feature, threshold, left, path in zip(
-            self.feature, self.threshold, self.left, self.path
-        ):
-            node = np.zeros(len(points), dtype=np.int64)
-            for _ in range(self.height):
-                node = left[node] + (points[rows, feature[node]] > threshold[node])
-            total += path[node]
-        return np.exp2(-total / len(self.feature) / self.usual_path)
+        return cls(
+            features,
+            {
+                "feature": feature,
+                "threshold": threshold,
+                "left": left,
+                "path": path,
+                "steps": height,
+                "usual_path": mean_path(size),
+            },
+        )
 
     def transform(self, df: DataFrame, column: str = "isolation_score") -> DataFrame:
-        model = df.sparkSession.sparkContext.broadcast(self)
+        arrays = df.sparkSession.sparkContext.broadcast(self.arrays)
 
         @F.pandas_udf("double")
         def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
             for batch in batches:
-                yield pd.Series(model.value.score(np.column_stack(batch)))
+                yield pd.Series(isolation_scores(np.column_stack(batch), **arrays.value))
 
         return df.withColumn(column, score(*_filled(self.features)))

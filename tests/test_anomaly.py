@@ -1,10 +1,13 @@
 import datetime as dt
 import random
+import subprocess
+import sys
 
 import duckdb
 import numpy as np
 import pytest
 from conftest import rows
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from daytally.functions.quantile import exact_quantile
@@ -89,8 +92,8 @@ def test_each_tree_gets_its_full_sample_from_a_thinned_table(spark):
     df = spark.range(300_000).select("id", F.rand(1).alias("a"), F.rand(2).alias("b"))
     forest = IsolationForest(trees=8, sample=256)
     model = forest.fit(df, ["a", "b"], ["id"])
-    assert model.left.shape == (8, 511)
-    roots = model.threshold[:, 0]
+    assert model.arrays["left"].shape == (8, 511)
+    roots = model.arrays["threshold"][:, 0]
     assert np.isfinite(roots).all() and len(set(roots)) == 8
     scores = model.transform(df).agg(F.min("isolation_score"), F.max("isolation_score")).first()
     assert 0.3 < scores[0] < scores[1] < 0.9
@@ -112,6 +115,18 @@ def test_tree_splits_every_distinct_point():
     assert mean_path(256) == pytest.approx(10.244770920116851)
 
 
+def test_task_functions_do_not_need_the_package(tmp_path):
+    code = "import pickle, sys; print(len(pickle.load(sys.stdin.buffer)([[1.0], [2.0]], 0, 1, 3)))"
+
+    def grow(points, *args):
+        return grow_tree(np.array(points), *args)
+
+    done = subprocess.run(
+        [sys.executable, "-c", code], input=cloudpickle.dumps(grow), cwd=tmp_path, capture_output=True
+    )
+    assert done.stdout.split()[-1:] == [b"3"], done.stderr
+
+
 def test_neighbouring_floats_are_split():
     points = np.array([[1.0], [np.nextafter(1.0, 2.0)]])
     for tree in range(50):
