@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    for path in glob.glob(f"{sf_dir}/*.parquet"):
+    for path in filter(os.path.isfile, glob.glob(f"{sf_dir}/*.parquet")):
         name = os.path.basename(path).removesuffix(".parquet")
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
     return con
