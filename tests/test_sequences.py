@@ -33,7 +33,8 @@ def frame(spark):
 def test_frame_columns(frame):
     first = frame.filter("item_id = 'b'").orderBy("date").first()
     assert first["series_id"] == "s_b" and first["time_idx"] == 6
-    assert (first["has_event"], first["snap_flag"], first["day_of_week"], first["month"]) == ("0", "0", "5", "1")
+    texts = [first[c] for c in ("has_event", "snap_flag", "day_of_week", "month")]
+    assert texts == ["0", "0", "5", "1"]
     assert first["sell_price_missing"] == "1" and first["sell_price"] == 4.0
     assert dict(frame.dtypes)["sales"] == "double"
 
