@@ -28,12 +28,16 @@ PREFIX = {BOOSTED: "lgb", FOREST: "rf"}
 
 @dataclass(frozen=True)
 class Forest:
-    """All features compete at every split; depth is bounded because trees grow by level."""
+    """All features compete at every split; depth is bounded because trees grow by level.
+
+    ``memory_mb`` bounds the split statistics of one pass: more memory, fewer passes over the rows.
+    """
 
     trees: int = FOREST_TREES
     seed: int = FOREST_SEED
     max_depth: int = 16
     max_bins: int = 256
+    memory_mb: int = 1024
 
     def fit(
         self, train: DataFrame, features: list[str] = MODEL_FEATURES, target: str = TARGET
@@ -46,6 +50,7 @@ class Forest:
             seed=self.seed,
             maxDepth=self.max_depth,
             maxBins=self.max_bins,
+            maxMemoryInMB=self.memory_mb,
             featureSubsetStrategy="all",
         )
         rows = assembler.transform(train).select("features", F.col(target).cast("double"))
