@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.llm import chat, mixing, quality, sharding, tokens
+from daytally.llm import chat, decontaminate, jaccard, mixing, quality, sharding, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,14 @@ def op1_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, model)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return sharding.assign(docs.select("doc_id", "source", "n_chars"))
@@ -52,6 +60,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_scores": op1_quality_scores,
+    "op3_decontamination": op3_decontamination,
+    "op5_jaccard_join": op5_jaccard_join,
     "op7_shards": op7_shards,
     "op8_chat_format": op8_chat_format,
     "op9_source_mix": op9_source_mix,
