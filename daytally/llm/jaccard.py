@@ -52,9 +52,10 @@ class Join:
         return math.ceil(math.log(1 - self.recall) / math.log(1 - alive))
 
 
-def _paths(tokens: np.ndarray, join: Join, runs: int) -> list[tuple[int, int, int]]:
-    """(step, path before, path) of all chosen paths of a set of shingles."""
-    limit = U(min(2**64 - 1, int(join.branching / len(tokens) * 2**64)))
+def _paths(tokens: np.ndarray, join: Join, runs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Step, path before and path of all chosen paths of a set of shingles."""
+    limit = np.uint32(min(2**32 - 1, int(join.branching / len(tokens) * 2**32)))
+    short = (tokens >> U(32)).astype(np.uint32)  # enough to choose by; paths keep all bits
     paths = mix(np.arange(runs, dtype=np.uint64) + U(join.seed * 1_000_003))
     out = []
     for step in range(1, join.depth + 1):
@@ -63,26 +64,27 @@ def _paths(tokens: np.ndarray, join: Join, runs: int) -> list[tuple[int, int, in
         width = max(1, (1 << 20) // len(tokens))
         for at in range(0, len(paths), width):
             some = paths[at : at + width]
-            row, column = np.nonzero(mix(tokens[None, :] ^ some[:, None]) <= limit)
+            seeds = (some >> U(32)).astype(np.uint32)[:, None]
+            low = (short[None, :] ^ seeds) * (seeds | np.uint32(1)) <= limit
+            row, column = np.divmod(np.flatnonzero(low), len(tokens))
             before.append(some[row])
             after.append(mix(tokens[column] * U(3) + some[row]))
         old, paths = np.concatenate(before), np.concatenate(after)
-        out += zip([step] * len(paths), signed(old).tolist(), signed(paths).tolist(), strict=True)
-        if not len(paths):
-            break
-    return out
+        out.append((np.full(len(paths), step, np.int32), signed(old), signed(paths)))
+    return tuple(np.concatenate(column) for column in zip(*out, strict=True))
 
 
 def _sketch(tokens: np.ndarray, size: int) -> bytes:
     """One byte each of ``size`` min-hashes."""
-    out = np.empty(size, np.uint8)
+    short = (tokens >> U(32)).astype(np.uint32)
+    seeds = mix(np.arange(size, dtype=np.uint64) + U(77)).astype(np.uint32)
+    best = np.full(size, np.uint32(2**32 - 1))
     for first in range(0, size, 16):
-        seeds = mix(np.arange(first, min(first + 16, size), dtype=np.uint64) + U(77))
-        best = np.full(len(seeds), U(2**64 - 1))
-        for at in range(0, len(tokens), 1 << 16):
-            part = (tokens[None, at : at + (1 << 16)] ^ seeds[:, None]) * (seeds[:, None] | U(1))
-            best = np.minimum(best, (part ^ (part >> U(29))).min(axis=1))
-        out[first : first + 16] = (mix(best) >> U(56)).astype(np.uint8)
+        few = seeds[first : first + 16, None]
+        for at in range(0, len(short), 1 << 14):
+            found = ((short[None, at : at + (1 << 14)] ^ few) * (few | np.uint32(1))).min(axis=1)
+            best[first : first + 16] = np.minimum(best[first : first + 16], found)
+    out = (mix(best.astype(np.uint64)) >> U(56)).astype(np.uint8)
     return out.tobytes()
 
 
@@ -101,12 +103,10 @@ def set_number(tokens: np.ndarray) -> int | None:
     return int(signed(mix(np.add.reduce(mix(tokens + U(5)), keepdims=True) + U(len(tokens))))[0])
 
 
-NODE = pa.struct([("step", pa.int32()), ("before", pa.int64()), ("path", pa.int64())])
-
-
 def described(docs: DataFrame, join: Join) -> DataFrame:
     """_row, doc_id, set, size, sketch and nodes of every document; set is null without words."""
     runs = join.runs()
+    none = (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,9 +117,11 @@ def described(docs: DataFrame, join: Join) -> DataFrame:
                     sets.append(set_number(tokens))
                     sizes.append(len(tokens))
                     sketches.append(_sketch(tokens, join.sketch) if len(tokens) else None)
-                    nodes.append([dict(zip(("step", "before", "path"), n, strict=True)) for n in _paths(tokens, join, runs)] if len(tokens) else [])
+                    nodes.append(_paths(tokens, join, runs) if len(tokens) else none)
+                ends = np.cumsum([0, *(len(n[0]) for n in nodes)]).astype(np.int32)
+                flat = pa.StructArray.from_arrays([np.concatenate(c) for c in zip(none, *nodes, strict=True)], names=["step", "before", "path"])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("_row"), part.column("doc_id"), pa.array(sets, pa.int64()), pa.array(sizes, pa.int32()), pa.array(sketches, pa.binary()), pa.array(nodes, pa.list_(NODE))],
+                    [part.column("_row"), part.column("doc_id"), pa.array(sets, pa.int64()), pa.array(sizes, pa.int32()), pa.array(sketches, pa.binary()), pa.ListArray.from_arrays(ends, flat)],
                     names=["_row", "doc_id", "set", "size", "sketch", "nodes"],
                 )
 

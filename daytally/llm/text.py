@@ -14,7 +14,7 @@ import pyarrow as pa
 
 SHINGLE = 5
 SIMILARITY = 0.8
-PIECE = 1 << 19  # code points worked on at once
+PIECE = 1 << 16  # code points worked on at once
 
 U = np.uint64
 _PRIME = U(0x9E3779B97F4A7C15)
