@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daytally.llm import quality, sharding
+from daytally.llm import decontaminate, jaccard, quality, sharding
 from daytally.llm.mixing import Mix, mixed_documents
 from daytally.session import scratch_path
 
@@ -19,6 +19,16 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.where(scored >= 0.5)
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates."""
+    return jaccard.one_of_each(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The words that the mix takes, as documents."""
     return mixed_documents(docs, MIX)
@@ -30,6 +40,8 @@ def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("quality classifier", quality_stage),
+    ("n-gram Jaccard join", near_duplicate_stage),
+    ("benchmark decontamination", decontamination_stage),
     ("mixing sources", mixing_stage),
     ("sharding", sharding_stage),
 ]
@@ -42,7 +54,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, applied to ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        path = scratch_path(spark, name.replace(" ", "_"))
+        path = scratch_path(spark, name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
