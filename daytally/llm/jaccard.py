@@ -59,6 +59,8 @@ def _paths(tokens: np.ndarray, join: Join, runs: int) -> tuple[np.ndarray, np.nd
     paths = mix(np.arange(runs, dtype=np.uint64) + U(join.seed * 1_000_003))
     out = []
     for step in range(1, join.depth + 1):
+        if not len(paths):
+            break
         before, after = [], []
         # A bounded number of hashes at once, however long the text.
         width = max(1, (1 << 20) // len(tokens))

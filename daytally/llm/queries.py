@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.llm import chat, decontaminate, jaccard, mixing, quality, sharding, tokens
+from daytally.llm import chat, decontaminate, html_text, jaccard, mixing, neighbours, quality, sharding, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,10 @@ def op1_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, model)
 
 
+def op2_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_texts(_table(spark, sf_dir, "pages"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -30,6 +34,10 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return sharding.assign(docs.select("doc_id", "source", "n_chars"))
@@ -60,8 +68,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_scores": op1_quality_scores,
+    "op2_page_text": op2_page_text,
     "op3_decontamination": op3_decontamination,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_nearest": op6_nearest,
     "op7_shards": op7_shards,
     "op8_chat_format": op8_chat_format,
     "op9_source_mix": op9_source_mix,
