@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.llm import chat, decontaminate, html_text, jaccard, mixing, neighbours, quality, sharding, tokens
+from daytally.llm import chat, decontaminate, html_text, jaccard, mixing, neighbours, quality, sharding, substrings, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality_scores": op1_quality_scores,
     "op2_page_text": op2_page_text,
     "op3_decontamination": op3_decontamination,
+    "op4_repeated_passages": op4_repeated_passages,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_nearest": op6_nearest,
     "op7_shards": op7_shards,
