@@ -7,16 +7,17 @@ searched by brute force; larger ones are split by the next step. Independent run
 the target recall: at the threshold, a pair meets in one run with the probability that a branching
 process survives, from which the number of runs follows.
 
-Texts with equal shingle sets are one node from the start, so copies never meet each other. Pairs
-from buckets are first compared by small sketches, and those that can reach the threshold by their
-whole shingle sets. A bucket that is still large at the last step is searched in tiles of bounded
+Texts with equal shingle sets are one node from the start, so copies never meet each other. In a
+bucket texts are compared by small sketches, and a spanning forest of the near ones connects them to
+clusters. Inside a cluster every pair is compared by whole shingle sets, and counts and a forest of
+the links are kept, not the pairs. Large buckets and clusters are worked on in tiles of bounded
 size, so nothing is dropped.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,7 +38,9 @@ class Join:
     shingle: int = SHINGLE
     branching: float = 1.25
     depth: int = 3
-    bucket: int = 32
+    bucket: int = 64
+    part: int = 512
+    part_tokens: int = 150_000
     recall: float = 0.999
     sketch: int = 64
     sketch_slack: float = 0.25
@@ -132,48 +135,61 @@ def described(docs: DataFrame, join: Join) -> DataFrame:
     return docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text").mapInArrow(describe, schema)
 
 
-def _bucket_pairs(join: Join):
-    """Arrow function: a bucket's texts to the pairs whose sizes and sketches allow the threshold."""
+def spanning(size: int, alike: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of a similarity graph on 0 … size-1.
+
+    ``alike(i, others)`` tells which of the others are similar to i. Every node asks once, about
+    those not reached yet, so a group of copies takes one question.
+    """
+    edges, rest = [], np.arange(size)
+    while len(rest):
+        found, rest = [rest[0]], rest[1:]
+        while found and len(rest):
+            i = found.pop()
+            near = alike(i, rest)
+            edges += [(int(i), int(x)) for x in rest[near]]
+            found += rest[near].tolist()
+            rest = rest[~near]
+    return edges
+
+
+def _bucket_edges(join: Join):
+    """Arrow function: a bucket's texts to a spanning forest of the pairs whose sizes and sketches
+    allow the threshold."""
     needed = (join.threshold - join.sketch_slack) * join.sketch
 
     def search(column: pa.Array) -> pa.Array:
         out = []
         flat = column.flatten()
         sets, sizes = flat.field("set").to_numpy(), flat.field("size").to_numpy().astype(np.int64)
-        sides = flat.field("side").to_numpy()
-        joined = b"".join(flat.field("sketch").to_pylist())
-        sketches = np.frombuffer(joined, np.uint8).reshape(len(sets), join.sketch)
+        sketches = np.frombuffer(b"".join(flat.field("sketch").to_pylist()), np.uint8).reshape(len(sets), join.sketch)
         ends = np.cumsum([len(x) for x in column])
         for first, last in zip(np.concatenate([[0], ends[:-1]]), ends, strict=True):
-            found = []
-            own, size, side = sets[first:last], sizes[first:last], sides[first:last]
-            for i in range(len(own) - 1):
-                rest = slice(i + 1, None)
-                fits = (np.minimum(size[rest], size[i]) >= join.threshold * np.maximum(size[rest], size[i])) & (own[rest] != own[i])
-                fits &= (side[rest] != side[i]) | (side[i] == 0)
-                where = np.flatnonzero(fits) + i + 1
-                if len(where):
-                    alike = (sketches[first + where] == sketches[first + i]).sum(axis=1) >= needed
-                    found += [{"a": min(own[i], x), "b": max(own[i], x)} for x in own[where[alike]].tolist()]
-            out.append(found)
+            own, size, sketch = sets[first:last], sizes[first:last], sketches[first:last]
+
+            def alike(i: int, others: np.ndarray) -> np.ndarray:
+                fits = np.minimum(size[others], size[i]) >= join.threshold * np.maximum(size[others], size[i])
+                fits[fits] = (sketch[others[fits]] == sketch[i]).sum(axis=1) >= needed
+                return fits
+
+            out.append([{"a": own[i], "b": own[j]} for i, j in spanning(len(own), alike)])
         return pa.array(out, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))
 
     return F.arrow_udf(search, "array<struct<a:long,b:long>>")
 
 
-def candidate_pairs(sets: DataFrame, join: Join) -> DataFrame:
-    """Distinct pairs of sets that met in a bucket and whose sketches are near enough.
+def candidate_edges(sets: DataFrame, join: Join) -> DataFrame:
+    """Edges (a, b) that connect all sets which met in a bucket with sketches near enough.
 
-    ``sets`` has one row per different set.
+    ``sets`` has one row per different set. A bucket gives fewer edges than it has texts.
     """
     nodes = sets.select("set", F.explode("nodes").alias("n")).select("set", "n.step", "n.before", "n.path")
     sketches = sets.select("set", "size", "sketch")
-    search = _bucket_pairs(join)
+    search = _bucket_edges(join)
     found, parents = None, None
 
     def searched(members: DataFrame, *key: str) -> DataFrame:
-        full = members.join(sketches, "set")
-        lists = full.groupBy(*key).agg(F.collect_list(F.struct("set", "size", "side", "sketch")).alias("_in"))
+        lists = members.join(sketches, "set").groupBy(*key).agg(F.collect_list(F.struct("set", "size", "sketch")).alias("_in"))
         return lists.select(F.explode(search("_in")).alias("p")).select("p.a", "p.b")
 
     for step in range(1, join.depth + 1):
@@ -181,19 +197,21 @@ def candidate_pairs(sets: DataFrame, join: Join) -> DataFrame:
         if parents is not None:
             here = here.join(parents, "before", "left_semi")
         counted = cut_lineage(here.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"))
-        members = here.join(counted, "path").select("path", "set", "n", F.lit(0).alias("side"))
-        pairs = searched(members.where(F.col("n") <= join.bucket), "path")
-        found = pairs if found is None else found.union(pairs)
+        members = here.join(counted, "path").select("path", "set", "n")
+        edges = searched(members.where(F.col("n") <= join.bucket), "path")
+        found = edges if found is None else found.union(edges)
         parents = counted.where(F.col("n") > join.bucket).select(F.col("path").alias("before"))
-    # What is still large: tiles of two parts each, parts of about half a bucket by hash.
-    large = members.where(F.col("n") > join.bucket)
-    parts = F.ceil(F.col("n") / (join.bucket // 2))
-    tiled = large.withColumn("_parts", parts).withColumn("_own", F.pmod(F.xxhash64("set", F.lit(join.seed)), F.col("_parts")))
-    tiled = tiled.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-    # Side 0 in the tile of a part with itself; elsewhere the two parts are sides 1 and 2.
-    side = F.when(F.col("_own") == F.col("_other"), 0).when(F.col("_own") < F.col("_other"), 1).otherwise(2)
-    tiled = tiled.select("path", "set", side.alias("side"), F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"))
-    return found.union(searched(tiled, "path", "_i", "_j")).distinct()
+    # What is still large: tiles of two parts each, by hash.
+    large = members.where(F.col("n") > join.bucket).select("path", "set", F.ceil(F.col("n") / join.part).alias("_parts"))
+    return found.union(searched(tiled(large, "set", join.seed), "path", "_i", "_j")).distinct()
+
+
+def tiled(rows: DataFrame, key: str, seed: int) -> DataFrame:
+    """Deals rows with ``_parts`` parts by the hash of their key, each row to every pair of parts
+    (_i, _j) that has its own; ``_own`` is that."""
+    dealt = rows.withColumn("_own", F.pmod(F.xxhash64(key, F.lit(seed)), F.col("_parts")))
+    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)))
+    return dealt.withColumns({"_i": F.least("_own", "_other"), "_j": F.greatest("_own", "_other")})
 
 
 def exact_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -212,36 +230,68 @@ def exact_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return rows.select("set", "text").mapInArrow(tokens, "set long, tokens binary")
 
 
-def _similarity(one: pa.Array, other: pa.Array) -> pa.Array:
-    out = []
-    for a, b in zip(one.to_pylist(), other.to_pylist(), strict=True):
-        x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-        both = np.concatenate([x, y])
-        both.sort()
-        common = np.count_nonzero(both[1:] == both[:-1])
-        out.append(common / (len(both) - common))
-    return pa.array(out, pa.float64())
-
-
-def similar_pairs(docs: DataFrame, join: Join = Join()) -> tuple[DataFrame, DataFrame]:
-    """(links, members): links are pairs (a, b, similarity) of different shingle sets whose Jaccard
-    similarity reaches the threshold; members give every document's set."""
+RESULT = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+
+
+def _compare(join: Join):
+    """A tile's texts to their numbers of similar documents (a, null, n) and to a spanning forest of
+    the similar pairs (a, b, 0), by whole shingle sets. Pairs inside a part count in its own tile."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        sets, copies = table.column("set").to_numpy(), table.column("copies").to_numpy()
+        part, alone = table.column("_own").to_numpy(), table.column("_i")[0] == table.column("_j")[0]
+        tokens = [np.frombuffer(t, np.uint64) for t in table.column("tokens").to_pylist()]
+        size = np.array([len(t) for t in tokens])
+        names, inverse = np.unique(np.concatenate(tokens), return_inverse=True)
+        starts = np.cumsum(size) - size
+        held = np.zeros(len(names), np.int32)
+        similar = np.zeros((len(sets), len(sets)), bool)
+        for i, n in enumerate(size):
+            own = inverse[starts[i] : starts[i] + n]
+            held[own] = 1
+            common = np.add.reduceat(held[inverse], starts)
+            held[own] = 0
+            similar[i] = (common >= join.threshold * (size + n - common)) & (part != part[i] if not alone else True)
+            similar[i, i] = False
+        near = similar @ copies
+        edges = spanning(len(sets), lambda i, others: similar[i, others])
+        some = np.flatnonzero(near)
+        a = np.concatenate([sets[some], sets[[i for i, _ in edges]]]) if edges else sets[some]
+        b = [None] * len(some) + [int(sets[j]) for _, j in edges]
+        n = near[some].tolist() + [0] * len(edges)
+        return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], schema=RESULT)
+
+    return compare
+
+
+def similar_sets(docs: DataFrame, join: Join = Join()) -> tuple[DataFrame, DataFrame]:
+    """(found, members): members give every document's shingle set; found has, for sets that are
+    similar to others, the number of similar documents (a, null, n), and enough of the links
+    (a, b, 0) to connect all that are linked.
+
+    Sets that buckets connect make up clusters. A cluster is compared pair by pair on whole sets,
+    in tiles of two parts of bounded size; each pair meets in one tile, and no tile gives more rows
+    than it has texts, or twice as many.
+    """
     spark = docs.sparkSession
     path = scratch_path(spark, "jaccard")
     described(docs, join).write.parquet(path)
     rows = spark.read.parquet(path)
     members = rows.select("_row", "doc_id", "set")
-    first = rows.where("set is not null").groupBy("set").agg(F.min("_row").alias("_row"))
+    first = rows.where("set is not null").groupBy("set").agg(F.min("_row").alias("_row"), F.count("*").alias("copies"))
+    first = cut_lineage(first)
     one_each = rows.drop("set", "doc_id").join(first, "_row")
-    pairs = cut_lineage(candidate_pairs(one_each, join))
-    used = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
+    clusters = cut_lineage(connected_components(candidate_edges(one_each, join)))
+    used = clusters.join(first, clusters["node"] == first["set"]).select("_row", "set", "copies", "component")
     tokens_path = scratch_path(spark, "jaccard-sets")
-    exact_sets(docs, first.join(used, "set").select("_row", "set"), join.shingle).write.parquet(tokens_path)
-    tokens = spark.read.parquet(tokens_path)
-    left = tokens.select(F.col("set").alias("a"), F.col("tokens").alias("_a"))
-    right = tokens.select(F.col("set").alias("b"), F.col("tokens").alias("_b"))
-    compared = pairs.join(left, "a").join(right, "b").select("a", "b", F.arrow_udf(_similarity, "double")("_a", "_b").alias("similarity"))
-    return cut_lineage(compared.where(F.col("similarity") >= join.threshold)), members
+    exact_sets(docs, used.select("_row", "set"), join.shingle).write.parquet(tokens_path)
+    tokens = spark.read.parquet(tokens_path).withColumn("_size", F.expr("octet_length(tokens) div 8"))
+    full = tokens.select("set", "_size").join(used, "set")
+    parts = F.greatest(F.ceil(F.sum("_size") / join.part_tokens), F.ceil(F.count("*") / join.part)).alias("_parts")
+    placed = full.join(full.groupBy("component").agg(parts), "component").select("component", "set", "copies", "_parts")
+    dealt = tiled(placed, "set", join.seed).join(tokens.select("set", "tokens"), "set")
+    found = dealt.groupBy("component", "_i", "_j").applyInArrow(_compare(join), "a long, b long, n long")
+    return cut_lineage(found), members
 
 
 def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
@@ -252,11 +302,10 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
     shingle set. A text under five words has one shingle of all its words. A text without words
     (null, empty, punctuation) has no links and is a class of its own.
     """
-    links, members = similar_pairs(docs, join)
+    found, members = similar_sets(docs, join)
     copies = members.where("set is not null").groupBy("set").agg(F.count("*").alias("_n"), F.min("doc_id").alias("_least"))
-    both = links.select("a", "b").union(links.select("b", "a"))
-    near = both.join(copies.select(F.col("set").alias("b"), "_n"), "b").groupBy("a").agg(F.sum("_n").alias("_near"))
-    parts = cut_lineage(connected_components(links))
+    near = found.where("b is null").groupBy("a").agg(F.sum("n").alias("_near"))
+    parts = cut_lineage(connected_components(found.where("b is not null").select("a", "b")))
     per_set = copies.join(parts, copies["set"] == parts["node"], "left").join(near, copies["set"] == near["a"], "left")
     per_set = per_set.select("set", "_n", "_near", "_least", F.coalesce("component", "set").alias("_part"))
     least = per_set.groupBy("_part").agg(F.min("_least").alias("class_id"))
@@ -276,8 +325,8 @@ def one_of_each(docs: DataFrame, join: Join = Join()) -> DataFrame:
 
     Of several rows with that doc_id in a class the first read stays.
     """
-    links, members = similar_pairs(docs, join)
-    parts = cut_lineage(connected_components(links))
+    found, members = similar_sets(docs, join)
+    parts = cut_lineage(connected_components(found.where("b is not null").select("a", "b")))
     found = members.where("set is not null").join(parts, members["set"] == parts["node"], "left")
     key = F.coalesce("component", "set").alias("_part")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("_no"), "doc_id", "_row")).alias("_best")
