@@ -128,9 +128,12 @@ def read_page(source: str) -> Page:
         page.breaks.append(len(page.texts))
 
     def text(raw: str) -> None:
-        if raw:
-            top = stack[-1]
-            page.texts.append((len(page.tags), top.path, raw, top.other, tuple(e.number for e in stack)))
+        if not raw:
+            return
+        top = stack[-1]
+        if page.texts and (not page.breaks or page.breaks[-1] < len(page.texts)):
+            raw = page.texts.pop()[2] + raw  # inline elements do not part a run of text
+        page.texts.append((len(page.tags), top.path, raw, top.other, tuple(e.number for e in stack)))
 
     at, end = 0, len(source)
     while at < end:

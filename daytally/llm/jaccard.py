@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daytally.llm.components import connected_components
+from daytally.llm.order import fresh_name
 from daytally.llm.text import PIECE, SHINGLE, SIMILARITY, U, grouped, mix, shingle_hashes, signed, texts_of, word_hashes
 from daytally.session import cut_lineage, scratch_path
 
@@ -332,5 +333,6 @@ def one_of_each(docs: DataFrame, join: Join = Join()) -> DataFrame:
     best = F.min(F.struct(F.col("doc_id").isNull().alias("_no"), "doc_id", "_row")).alias("_best")
     kept = found.groupBy(key).agg(best).select("_best._row")
     kept = kept.union(members.where("set is null").select("_row"))
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    return numbered.join(kept, "_row", "left_semi").drop("_row")
+    row = fresh_name(docs, "_row")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    return numbered.join(kept.withColumnRenamed("_row", row), row, "left_semi").select(*docs.columns)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daytally.llm.order import with_position
+from daytally.llm.order import fresh_name, with_position
 from daytally.llm.text import U, mix, texts_of
 from daytally.session import cut_lineage
 
@@ -203,8 +203,10 @@ def mixed_documents(docs: DataFrame, mixture: Mix = Mix()) -> DataFrame:
             out.append("\n".join(whole[starts[a] : ends[b - 1]] for a, b in runs))
         return pa.array(out, pa.string())
 
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    joined = numbered.join(spans, "_row").withColumn("text", F.arrow_udf(cut, "string")("text", "_spans"))
+    row, found = fresh_name(docs, "_row"), fresh_name(docs, "_spans")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    joined = numbered.join(spans.select(F.col("_row").alias(row), F.col("_spans").alias(found)), row)
+    joined = joined.withColumn("text", F.arrow_udf(cut, "string")("text", found))
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return joined.select(*docs.columns)

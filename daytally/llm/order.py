@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from daytally.session import cut_lineage
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """The name, with more underscores in front if the table has such a column."""
+    while name in df.columns:
+        name = "_" + name
+    return name
+
+
 def with_position(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Adds the position (from 0) of each row in the given order; ties in any order.
 

@@ -68,7 +68,7 @@ def lookup(spark: SparkSession, shards: list[str], size: int = TABLE) -> DataFra
 def assign(df: DataFrame, key: str = "doc_id", shards: list[str] | None = None, size: int = TABLE) -> DataFrame:
     """Every row with the columns ``slot`` and ``shard`` (the shard's number); rows that share a key
     share a shard. Columns of these names are replaced."""
-    table = lookup(df.sparkSession, shards or shard_names(), size)
-    kept = df.drop("slot", "shard").withColumn("_slot", slot_column(F.col(key), size))
-    placed = kept.join(F.broadcast(table), "_slot", "left")
-    return placed.withColumnsRenamed({"_slot": "slot", "_shard": "shard"})
+    table = lookup(df.sparkSession, shards or shard_names(), size).withColumnsRenamed({"_slot": "slot", "_shard": "shard"})
+    kept = df.drop("slot", "shard").withColumn("slot", slot_column(F.col(key), size))
+    placed = kept.join(F.broadcast(table), "slot", "left")
+    return placed.select(*kept.columns, "shard")
