@@ -13,6 +13,8 @@ BINS = 4096
 def exact_quantile(df: DataFrame, column: str, q: float, bins: int = BINS) -> float | None:
     """Linear-interpolated quantile of the non-NULL values, None when there are none.
 
+    NaN and infinite values are refused, as no bin of finite width could hold them.
+
     Each pass counts the values per equal-width bin (at most ``bins`` groups, summed before the
     shuffle) and keeps the bin that holds the wanted rank, until that bin is a single value.
     Several passes read ``df``, so hand in a stored or checkpointed table.
@@ -23,6 +25,8 @@ def exact_quantile(df: DataFrame, column: str, q: float, bins: int = BINS) -> fl
     n, low, high = values.agg(F.count("x"), F.min("x"), F.max("x")).first()
     if n == 0:
         return None
+    if not (math.isfinite(low) and math.isfinite(high)):
+        raise ValueError(f"{column} holds NaN or infinite values")
     position = q * (n - 1)
     rank = math.floor(position)
     at_rank = _value_at(values, rank, low, high, bins)
@@ -41,7 +45,10 @@ def _value_at(values: DataFrame, rank: int, low: float, high: float, bins: int)
     below = 0
     while low < high:
         inside = values.filter(F.col("x").between(low, high))
-        place = F.floor((F.col("x") - low) / (high - low) * bins)
+        # Halves, so that the widest range stays finite. The ends fall into the first and last bin,
+        # hence every pass narrows.
+        place = F.floor((F.col("x") / 2 - low / 2) / (high / 2 - low / 2) * bins)
+        place = F.when(F.col("x") >= high, F.lit(bins - 1)).otherwise(place)
         counted = (
             inside.groupBy(F.least(place, F.lit(bins - 1)).alias("bin"))
             .agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))

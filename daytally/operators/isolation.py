@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daytally.functions.quantile import exact_quantile
-from daytally.session import cut_lineage
+from daytally.session import stored_table
 
 # Usual forest size, rows per tree, share of outliers and seed.
 TREES = 100
@@ -22,8 +22,6 @@ SAMPLE = 256
 CONTAMINATION = 0.01
 SEED = 42
 
-# The table is thinned once to about this many times the rows that all trees need together.
-POOL_FACTOR = 4
 EULER_GAMMA = 0.5772156649015329
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, path double"
 
@@ -80,24 +78,24 @@ class IsolationForest:
     def fit(self, df: DataFrame, features: list[str], key: list[str]) -> IsolationModel:
         """Draw ``sample`` rows per tree without replacement and grow the trees in parallel.
 
-        Draws are hashes of the row key, so they do not depend on partitioning. One cheap hash
-        thins the table first; only the bounded pool is drawn from for each tree.
+        Draws are hashes of the row key and the tree, so they do not depend on partitioning. Every
+        tree draws from all rows; a row is copied only for the trees that draw it.
         """
         n = df.count()
         if n == 0:
             raise ValueError("no rows to fit an isolation forest on")
         size = min(self.sample, n)
         height = max(1, math.ceil(math.log2(size)))
-        pool = min(n, POOL_FACTOR * self.trees * size)
         wanted = size + 8 * math.sqrt(size) + 64
         hashed = F.xxhash64(*key, F.lit(self.seed)).alias("hash")
         points = df.select(hashed, F.array(*_filled(features)).alias("x"))
-        pooled = points.filter(_below_share(F.col("hash"), pool / n))
-        trees = F.explode(F.sequence(F.lit(0), F.lit(self.trees - 1))).alias("tree")
-        drawn = (
-            pooled.select("hash", "x", trees)
-            .withColumn("draw", F.xxhash64("hash", "tree"))
-            .filter(_below_share(F.col("draw"), wanted / pool))
+        share = wanted / n
+        hits = F.filter(
+            F.sequence(F.lit(0), F.lit(self.trees - 1)),
+            lambda tree: _below_share(F.xxhash64("hash", tree), share),
+        )
+        drawn = points.withColumn("tree", F.explode(hits)).withColumn(
+            "draw", F.xxhash64("hash", "tree")
         )
         by_draw = Window.partitionBy("tree").orderBy("draw")
         chosen = drawn.withColumn("place", F.row_number().over(by_draw)).filter(
@@ -114,8 +112,9 @@ class IsolationForest:
 
     def fit_flag(self, df: DataFrame, features: list[str], key: list[str], flag: str) -> DataFrame:
         """Add ``flag``: 1 for rows whose score is beyond the contamination quantile."""
-        stored = cut_lineage(df)
-        scored = cut_lineage(self.fit(stored, features, key).transform(stored, "_score"))
+        stored = stored_table(df, "isolation")
+        model = self.fit(stored, features, key)
+        scored = stored_table(model.transform(stored, "_score"), "isolation-scores")
         limit = exact_quantile(scored, "_score", 1.0 - self.contamination)
         return scored.withColumn(flag, (F.col("_score") > limit).cast("int")).drop("_score")
 

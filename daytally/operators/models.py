@@ -85,9 +85,15 @@ def compare(
 
 
 def best_model(scores: DataFrame) -> DataFrame:
-    """The row with the lowest MAE; on a tie the boosted model wins."""
+    """The row with the lowest MAE; on a tie the boosted model wins.
+
+    A missing score is an error: validation rows that match nothing, or weights of zero.
+    """
     priority = F.array_position(F.array(*[F.lit(n) for n in PRIORITY]), F.col("model"))
-    return scores.orderBy("mae", priority).limit(1)
+    missing = F.col("mae").isNull() | F.col("wrmsse").isNull()
+    said = F.concat(F.lit("no score for model "), F.col("model"))
+    mae = F.when(missing, F.raise_error(said).cast("double")).otherwise(F.col("mae"))
+    return scores.withColumn("mae", mae).orderBy("mae", priority).limit(1)
 
 
 def keep_model(model: PipelineModel, path: str) -> str:

@@ -65,8 +65,8 @@ def missing_steps(frame: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     return rows.filter("step <> 1").select(*GROUP, *ROW, "time_idx", "step")
 
 
-def require_dense(frame: DataFrame) -> None:
-    example = missing_steps(frame).take(1)
+def require_dense(frame: DataFrame, hot: DataFrame | None = None) -> None:
+    example = missing_steps(frame, hot).take(1)
     if example:
         raise ValueError(f"a series has a gap or a repeated day: {example[0].asDict()}")
 

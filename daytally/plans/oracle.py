@@ -6,7 +6,7 @@ from daytally.plans import panel as P
 
 PANEL = f"""
 daily AS (
-  SELECT p_brand AS item_id, r_name AS store_id, CAST(l_shipdate AS DATE) AS date,
+  SELECT p_brand || '_' || (p_partkey // {P.PARTS_PER_ITEM}) AS item_id, r_name AS store_id, CAST(l_shipdate AS DATE) AS date,
          CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS units,
          CAST(SUM(CAST(ROUND(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS cents
   FROM lineitem
@@ -269,7 +269,7 @@ UNION ALL SELECT 'joined_rows', COUNT(*) FROM sales_long
 UNION ALL SELECT 'calendar_rows', COUNT(*) FROM cal
 UNION ALL SELECT 'prices_rows', COUNT(*) FROM prices"""
     ),
-    "duplicate_rows": """SELECT p_brand AS item_id, r_name AS store_id,
+    "duplicate_rows": f"""SELECT p_brand || '_' || (p_partkey // {P.PARTS_PER_ITEM}) AS item_id, r_name AS store_id,
   CAST(l_shipdate AS DATE) AS date, COUNT(*) AS count
 FROM lineitem
 JOIN part ON l_partkey = p_partkey

@@ -21,7 +21,9 @@ from daytally.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Sizes used by the registered model queries, smaller than the library defaults.
+# ``forest_predictions`` has the library's forest. Where a query fits a forest besides other work, it
+# has fewer and smaller trees, and boosting has fewer rounds than the library's 1000, each of which
+# is a Spark job of about a second: see the open points in the README.
 FOREST = models.Forest(trees=20, max_depth=8)
 BOOSTING = TweedieBoosting(rounds=10, learning_rate=0.1)
 HOT_CHUNK = 512
@@ -42,7 +44,8 @@ def _split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _model_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Complete training and validation rows of the subset, stored once for the model jobs."""
-    train, val = _split(cut_lineage(_subset(spark, sf_dir)))
+    rows = _subset(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism, *ROW)
+    train, val = _split(cut_lineage(rows))
     return selection.complete_rows(train), selection.complete_rows(val)
 
 
@@ -235,7 +238,7 @@ def combined_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def forest_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, val = _model_rows(spark, sf_dir)
-    return models.predict(FOREST.fit(train), val)
+    return models.predict(models.Forest().fit(train), val)
 
 
 def tweedie_step(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,7 +258,7 @@ def tweedie_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _scored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, PipelineModel], DataFrame]:
     train, val = _model_rows(spark, sf_dir)
     fitted = {models.BOOSTED: BOOSTING.fit(train), models.FOREST: FOREST.fit(train)}
-    predictions = {name: models.predict(model, val) for name, model in fitted.items()}
+    predictions = {name: cut_lineage(models.predict(m, val)) for name, m in fitted.items()}
     return train, fitted, models.compare(predictions, train)
 
 

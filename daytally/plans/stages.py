@@ -197,7 +197,7 @@ def build_sequences(store: Store, settings: Settings) -> dict[str, int]:
     subset = selection.store_top_items(features, settings.state, settings.store, settings.top_n)
     hot = hot_series(subset, max_rows=settings.max_series_rows)
     frame = store.write(sequences.sequence_frame(subset, hot), "sequence_frame")
-    sequences.require_dense(frame)
+    sequences.require_dense(frame, hot)
     encoder, horizon = settings.encoder, settings.horizon
     training = sequences.training_windows(frame, encoder, horizon, settings.stride, hot)
     validation = sequences.validation_windows(frame, encoder, horizon)

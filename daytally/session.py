@@ -48,7 +48,7 @@ def shared_folder(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return configured
     if sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="daytally-"))
     return sc.getCheckpointDir()
@@ -59,6 +59,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored_table(df: DataFrame, name: str) -> DataFrame:
+    """Rows written as parquet in the shared folder and read back: later passes read the columns
+    they need."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows survive the loss of any executor."""
     shared_folder(df.sparkSession)

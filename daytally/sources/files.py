@@ -20,7 +20,12 @@ from daytally.schemas import (
 )
 
 
-SPARK_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "double": T.DoubleType()}
+SPARK_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+}
 
 
 def _found(path: str, read: Callable[[], DataFrame]) -> DataFrame:
@@ -62,8 +67,10 @@ def csv_schema(names: list[str], types: dict[str, str], prefix: str | None = Non
 def _read_csv(
     spark: SparkSession, path: str, types: dict[str, str], prefix: str | None = None
 ) -> DataFrame:
+    """Columns by the names in the header. Every file of a folder must have the first one's header."""
     schema = csv_schema(header_names(spark, path), types, prefix)
-    df = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    reader = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
+    df = reader.option("enforceSchema", False).csv(path)
     require_columns(df, types, path)
     return df
 
@@ -82,8 +89,8 @@ def read_prices_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def read_predictions_csv(spark: SparkSession, path: str) -> DataFrame:
     """Predictions with typed dates, so later windows order by day and not by text."""
-    reader = spark.read.schema(PREDICTION_SCHEMA).option("header", True).option("mode", "FAILFAST")
-    return _found(path, lambda: reader.csv(path))
+    types = dict(column.split() for column in PREDICTION_SCHEMA.split(", "))
+    return _read_csv(spark, path, types).select(*types)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:

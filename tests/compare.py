@@ -8,6 +8,7 @@ from __future__ import annotations
 import glob
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -68,6 +69,7 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "16g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="compare-"),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },
