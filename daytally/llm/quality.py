@@ -32,8 +32,8 @@ class Settings:
     buckets: int = 1 << 17
     dimensions: int = 8
     ngrams: tuple[int, ...] = (3, 4)
-    sample: int = 6000
-    row_features: int = 2048
+    sample: int = 2000
+    row_features: int = 1024
     epochs: int = 12
     rate: float = 4.0
     seed: int = 7
