@@ -119,12 +119,12 @@ def enforce(report: DataFrame) -> DataFrame:
     return report
 
 
-def duplicate_rows(sales: DataFrame) -> DataFrame:
+def duplicate_rows(sales: DataFrame, keys: list[str] = ROW) -> DataFrame:
     """Keys (item, store, date) held by more than one row; windows need this to be empty."""
-    return sales.groupBy(*ROW).count().filter("count > 1")
+    return sales.groupBy(*keys).count().filter("count > 1")
 
 
-def require_unique_rows(sales: DataFrame) -> None:
-    example = duplicate_rows(sales).take(1)
+def require_unique_rows(sales: DataFrame, keys: list[str] = ROW) -> None:
+    example = duplicate_rows(sales, keys).take(1)
     if example:
         raise ValueError(f"several rows for {example[0].asDict()}")

@@ -80,9 +80,12 @@ def target_scaling(train: DataFrame) -> DataFrame:
     )
 
 
+def scaled_target(sales: Column) -> Column:
+    return (F.log1p(sales) - F.col("target_center")) / F.col("target_scale")
+
+
 def scale_target(frame: DataFrame, scaling: DataFrame) -> DataFrame:
-    scaled = (F.log1p("sales") - F.col("target_center")) / F.col("target_scale")
-    return frame.join(scaling, GROUP).withColumn("sales_scaled", scaled)
+    return frame.join(scaling, GROUP).withColumn("sales_scaled", scaled_target(F.col("sales")))
 
 
 def _windows(
@@ -111,6 +114,10 @@ def step_struct() -> Column:
 
 def _described(windows: DataFrame, scaling: DataFrame, encoder: int, horizon: int) -> DataFrame:
     relative = F.sequence(F.lit(1 - encoder), F.lit(horizon))
+
+    def target(steps: str) -> Column:
+        return F.transform(steps, lambda step: scaled_target(step["sales"])).alias(f"{steps}_target")
+
     return windows.join(scaling, GROUP).select(
         *GROUP,
         *STATIC,
@@ -121,6 +128,8 @@ def _described(windows: DataFrame, scaling: DataFrame, encoder: int, horizon: in
         "target_scale",
         "encoder",
         "decoder",
+        target("encoder"),
+        target("decoder"),
     )
 
 

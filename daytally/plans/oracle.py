@@ -195,19 +195,25 @@ SCALING = f"""scaling AS (
 def windows(condition: str, last: str) -> str:
     """Window ends with sizes and sums over 120 rows back and 28 rows ahead."""
     return f"""SELECT series_id, encoder_end_idx, encoder_length, decoder_length, first_idx, last_idx,
-  encoder_sales, decoder_sales, ROUND(target_center, 6) AS target_center,
+  encoder_sales, decoder_sales, ROUND(encoder_target, 3) AS encoder_target,
+  ROUND(decoder_target, 3) AS decoder_target, ROUND(target_center, 6) AS target_center,
   ROUND(target_scale, 6) AS target_scale
 FROM (
-  SELECT series_id, time_idx AS encoder_end_idx,
+  SELECT series_id, time_idx AS encoder_end_idx, target_center, target_scale,
          COUNT(*) OVER (w ROWS BETWEEN 119 PRECEDING AND CURRENT ROW) AS encoder_length,
          COUNT(*) OVER (w ROWS BETWEEN 1 FOLLOWING AND 28 FOLLOWING) AS decoder_length,
          MIN(time_idx) OVER (w ROWS BETWEEN 119 PRECEDING AND CURRENT ROW) AS first_idx,
          MAX(time_idx) OVER (w ROWS BETWEEN 1 FOLLOWING AND 28 FOLLOWING) AS last_idx,
          SUM(sales) OVER (w ROWS BETWEEN 119 PRECEDING AND CURRENT ROW) AS encoder_sales,
-         SUM(sales) OVER (w ROWS BETWEEN 1 FOLLOWING AND 28 FOLLOWING) AS decoder_sales
-  FROM frame WHERE time_idx <= {last}
+         SUM(sales) OVER (w ROWS BETWEEN 1 FOLLOWING AND 28 FOLLOWING) AS decoder_sales,
+         SUM(level) OVER (w ROWS BETWEEN 119 PRECEDING AND CURRENT ROW) AS encoder_target,
+         SUM(level) OVER (w ROWS BETWEEN 1 FOLLOWING AND 28 FOLLOWING) AS decoder_target
+  FROM (
+    SELECT *, (LN(1 + sales) - target_center) / target_scale AS level
+    FROM frame JOIN scaling USING (series_id)
+  ) WHERE time_idx <= {last}
   WINDOW w AS (PARTITION BY series_id ORDER BY time_idx)
-) JOIN scaling USING (series_id)
+)
 WHERE encoder_length = 120 AND decoder_length = 28 AND {condition}"""
 
 
@@ -353,6 +359,68 @@ FROM residuals, (SELECT QUANTILE_CONT(abs_residual, 0.99) AS q FROM residuals)""
         NAIVE,
         RESIDUALS,
     ),
+    "combined_flags": query(
+        f"""SELECT *, CASE WHEN anomaly_stat = 1 OR anomaly_iso = 1 THEN 1 ELSE 0 END AS is_anomaly
+FROM (
+  SELECT {KEYS}, abs_residual,
+         CASE WHEN abs_residual / CASE WHEN residual_rolling_std < 0.1 THEN 0.1
+                                       ELSE residual_rolling_std END > 3 THEN 1 ELSE 0 END AS anomaly_stat,
+         CASE WHEN abs_residual > (SELECT QUANTILE_CONT(abs_residual, 0.99) FROM residuals)
+              THEN 1 ELSE 0 END AS anomaly_iso
+  FROM residuals
+)""",
+        NAIVE,
+        RESIDUALS,
+    ),
+    "predictions_csv": query(
+        """SELECT * REPLACE (CAST(actual AS INTEGER) AS actual, ROUND(residual_pct, 6) AS residual_pct,
+  ROUND(residual_rolling_mean, 6) AS residual_rolling_mean,
+  ROUND(residual_rolling_std, 6) AS residual_rolling_std)
+FROM residuals""",
+        NAIVE,
+        RESIDUALS,
+    ),
+    "best_of_naive": query(
+        """SELECT model, ROUND(mae, 6) AS mae, ROUND(wrmsse, 6) AS wrmsse, mae = MIN(mae) OVER () AS best
+FROM maes JOIN scored USING (model)""",
+        *SCORE_TABLES,
+        UNITS,
+        f"""guesses AS (
+  SELECT item_id, store_id, sales, unnest(['sales_lag_7', 'sales_lag_28']) AS model,
+         unnest([CAST(sales_lag_7 AS DOUBLE), CAST(sales_lag_28 AS DOUBLE)]) AS pred
+  FROM featured WHERE {IN_VALIDATION}
+)""",
+        "maes AS (SELECT model, AVG(ABS(sales - pred)) AS mae FROM guesses GROUP BY model)",
+        """scored AS (
+  SELECT model, SUM(weight * SQRT(mse / scale)) AS wrmsse
+  FROM (
+    SELECT model, item_id, store_id, AVG((sales - pred) * (sales - pred)) AS mse
+    FROM guesses GROUP BY model, item_id, store_id
+  ) JOIN scales USING (item_id, store_id) JOIN weights USING (item_id, store_id)
+  GROUP BY model
+)""",
+    ),
+    "stored_tables": query(
+        f"""SELECT COUNT(*) AS rows, COUNT(DISTINCT store_id || '_' || item_id) AS series,
+  CAST(SUM(sales) AS BIGINT) AS units, (SELECT BOOL_AND(passed) FROM ({QUALITY})) AS gate
+FROM featured""",
+        FEATURED,
+    ),
+    "horizon_recursion": query(
+        f"""SELECT item_id, store_id, CAST(last_day + step AS DATE) AS date, ROUND(predicted, 6) AS predicted
+FROM ahead, ends WHERE step > 0""",
+        f"""ahead AS (
+  SELECT item_id, store_id, 0 AS step, LIST(CAST(sales AS DOUBLE) ORDER BY date) AS history,
+         CAST(NULL AS DOUBLE) AS predicted
+  FROM sales_long, ends WHERE date > last_day - 28 GROUP BY item_id, store_id
+  UNION ALL
+  SELECT item_id, store_id, step + 1, LIST_APPEND(history[2:28], next), next
+  FROM (
+    SELECT *, GREATEST(0.5 * history[22] + 0.5 * (LIST_SUM(history[22:28]) / 7), 0) AS next
+    FROM ahead WHERE step < {P.HORIZON}
+  )
+)""",
+    ).replace("WITH", "WITH RECURSIVE", 1),
     "tweedie_step": query(
         f"""SELECT {KEYS}, sales,
   ROUND(EXP(0.9 * f) - sales * EXP(-0.1 * f), 6) AS slope,
@@ -362,7 +430,7 @@ FROM (
 )""",
         *SUBSET_TABLES,
     ),
-    "sequence_frame": query("SELECT * FROM frame", *SUBSET_TABLES, frame("subset")),
+    "sequence_frame": query("SELECT * FROM frame", FEATURED, frame("featured")),
     "price_fill": query(
         """SELECT series_id, time_idx, sell_price, sell_price_missing
 FROM frame""",
@@ -386,7 +454,7 @@ FROM (
   FROM daily JOIN cal USING (date)
 ) WHERE step <> 1"""
     ),
-    "encoder_decoder_windows": query(windows("true", CUT), *SUBSET_TABLES, frame("subset"), SCALING),
+    "encoder_decoder_windows": query(windows("true", CUT), FEATURED, frame("featured"), SCALING),
     "validation_windows": query(
         windows(f"encoder_end_idx = {CUT}", "(SELECT MAX(time_idx) FROM frame)"),
         FEATURED,

@@ -5,18 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.functions.columns import rounded
+from daytally.functions.columns import flag, rounded
 from daytally.functions.quantile import exact_quantile
 from daytally.functions.series import with_series_windows
 from daytally.operators import anomaly, features, forecast, metrics, models, quality
 from daytally.operators import reshape, selection, sequences
 from daytally.operators.boosting import TweedieBoosting, tweedie_curvature, tweedie_slope
 from daytally.plans import panel as P
+from daytally.plans import stages
 from daytally.schemas import MODEL_FEATURES, ROW, SERIES, TARGET, WIDE_IDS
-from daytally.session import cut_lineage, scratch_path
+from daytally.session import cut_lineage, scratch_path, stored_table
 from daytally.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -225,6 +227,20 @@ def contamination_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(residuals.agg(F.lit(limit).alias("cutoff"), beyond.alias("beyond")))
 
 
+def combined_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both flags combined, the second one from the quantile cutoff of the residual size."""
+    flagged = anomaly.statistical_flag(anomaly.residual_features(_naive(spark, sf_dir)))
+    flagged = stored_table(flagged.select(*ROW, "abs_residual", "anomaly_stat"), "flags")
+    limit = exact_quantile(flagged, "abs_residual", 1.0 - anomaly.IsolationForest().contamination)
+    return anomaly.combined_flag(flagged.withColumn("anomaly_iso", flag(F.col("abs_residual") > limit)))
+
+
+def predictions_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Residual features of predictions that were written as CSV and read back."""
+    path = files.write_csv(_naive(spark, sf_dir), scratch_path(spark, "predictions"))
+    return rounded(anomaly.residual_features(files.read_predictions_csv(spark, path)))
+
+
 def isolation_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anomaly.isolation_flag(anomaly.residual_features(_naive(spark, sf_dir)))
 
@@ -268,6 +284,17 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.join(best, "model", "left").withColumn("best", F.coalesce("best", F.lit(False)))
 
 
+def best_of_naive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of the forecasts by the values 7 and 28 days before, and which is the better one."""
+    lags = ["sales_lag_7", "sales_lag_28"]
+    train, val = _split(cut_lineage(_featured(spark, sf_dir).select(*ROW, "sales", *lags)))
+    guesses = {name: selection.prediction_frame(val, prediction=name) for name in lags}
+    scores = cut_lineage(models.compare(guesses, train.dropna(subset=lags)))
+    best = models.best_model(scores).select("model", F.lit(True).alias("best"))
+    scores = scores.join(best, "model", "left").withColumn("best", F.coalesce("best", F.lit(False)))
+    return rounded(scores)
+
+
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _, scores = _scored(spark, sf_dir)
     rows = scores.collect()
@@ -291,7 +318,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sequence_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sequences.sequence_frame(_subset(spark, sf_dir))
+    return sequences.sequence_frame(_featured(spark, sf_dir))
 
 
 def sequence_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,7 +326,7 @@ def sequence_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = sequences.sequence_frame(_featured(spark, sf_dir))
+    frame = _sequence_rows(spark, sf_dir)
     return rounded(frame.select("series_id", "time_idx", "sell_price", "sell_price_missing"))
 
 
@@ -322,8 +349,8 @@ def missing_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _window_sums(windows: DataFrame) -> DataFrame:
     """Windows described by sizes and integer sums, so that both engines can be compared."""
 
-    def total(steps: str) -> Column:
-        return F.aggregate(f"{steps}.sales", F.lit(0.0), lambda a, v: a + v)
+    def total(values: str) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
 
     return windows.select(
         "series_id",
@@ -332,8 +359,10 @@ def _window_sums(windows: DataFrame) -> DataFrame:
         F.size("decoder").cast("bigint").alias("decoder_length"),
         F.get("encoder.time_idx", F.lit(0)).alias("first_idx"),
         F.element_at("decoder.time_idx", -1).alias("last_idx"),
-        total("encoder").alias("encoder_sales"),
-        total("decoder").alias("decoder_sales"),
+        total("encoder.sales").alias("encoder_sales"),
+        total("decoder.sales").alias("decoder_sales"),
+        F.round(total("encoder_target"), 3).alias("encoder_target"),
+        F.round(total("decoder_target"), 3).alias("decoder_target"),
         "target_center",
         "target_scale",
     )
@@ -355,6 +384,28 @@ def horizon_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(forecast.step_features(history, 1).select(*ROW, *MODEL_FEATURES))
 
 
+def horizon_recursion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forecast loop with a formula as its model: half the value a week before, half the
+    mean of the last week, both from its own earlier forecasts once those are reached."""
+    half = "SELECT *, 0.5D * sales_lag_7 + 0.5D * rolling_mean_7 AS prediction FROM __THIS__"
+    model = PipelineModel([SQLTransformer(statement=half)])
+    return rounded(forecast.horizon_forecast(P.sales_long(spark, sf_dir), model, P.HORIZON, cut_every=1))
+
+
+def stored_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature table and report written and read back: rows, series, units, and the gate's outcome."""
+    store = stages.Store(spark, scratch_path(spark, "stored"))
+    rows = store.write_panel(_featured(spark, sf_dir), "feature_table", 0)
+    limits = quality.Limits(first_date=P.GATE_FIRST, last_date=P.GATE_LAST)
+    report = store.write(quality.quality_report(rows, limits), "quality_report")
+    counts = rows.agg(
+        F.count("*").alias("rows"),
+        F.count_distinct(*SERIES).alias("series"),
+        F.sum("sales").alias("units"),
+    )
+    return counts.withColumn("gate", report.select(F.every("passed")).scalar())
+
+
 def horizon_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales_long = cut_lineage(P.sales_long(spark, sf_dir))
     train, _ = _split(features.feature_table(sales_long))
@@ -392,11 +443,14 @@ QUERIES: dict[str, Query] = {
     "residual_features": residual_features,
     "zscore_anomalies": zscore_anomalies,
     "contamination_cutoff": contamination_cutoff,
+    "combined_flags": combined_flags,
+    "predictions_csv": predictions_csv,
     "isolation_anomalies": isolation_anomalies,
     "combined_anomalies": combined_anomalies,
     "forest_predictions": forest_predictions,
     "tweedie_step": tweedie_step,
     "tweedie_predictions": tweedie_predictions,
+    "best_of_naive": best_of_naive,
     "model_comparison": model_comparison,
     "run_log": run_log,
     "sequence_frame": sequence_frame,
@@ -406,5 +460,7 @@ QUERIES: dict[str, Query] = {
     "encoder_decoder_windows": encoder_decoder_windows,
     "validation_windows": validation_windows,
     "horizon_features": horizon_features,
+    "horizon_recursion": horizon_recursion,
+    "stored_tables": stored_tables,
     "horizon_forecast": horizon_forecast,
 }

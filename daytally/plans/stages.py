@@ -16,10 +16,12 @@ from daytally.operators.features import feature_table
 from daytally.operators.forecast import horizon_forecast
 from daytally.operators.isolation import IsolationForest
 from daytally.operators.models import BOOSTED, FOREST, Forest
-from daytally.schemas import MODEL_FEATURES, PASS_THROUGH, TARGET
+from daytally.schemas import MODEL_FEATURES, PASS_THROUGH, SERIES, TARGET
 from daytally.sources import files
 
 LAYOUT = ["state_id"]
+# Rows of one bucket at most, so that a task's share of a panel stays the same at every size.
+BUCKET_ROWS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -63,9 +65,10 @@ class Store:
     schema: str | None = None
     partitions: int | None = None
 
-    @property
-    def buckets(self) -> int:
-        return self.partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+    def buckets(self, rows: int) -> int:
+        """Buckets of a panel: the shuffle partitions, or more where the rows need them."""
+        least = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return self.partitions or max(least, -(-rows // BUCKET_ROWS))
 
     def at(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -77,9 +80,9 @@ class Store:
     def read(self, name: str) -> DataFrame:
         return files.read_table(self.spark, self.at(name))
 
-    def write_panel(self, df: DataFrame, name: str) -> DataFrame:
+    def write_panel(self, df: DataFrame, name: str, rows: int) -> DataFrame:
         if self.schema:
-            files.write_bucketed(df, f"{self.schema}.{name}", self.at(name), self.buckets)
+            files.write_bucketed(df, f"{self.schema}.{name}", self.at(name), self.buckets(rows))
         else:
             files.write_table(df, self.at(name), LAYOUT)
         return self.read_panel(name)
@@ -96,6 +99,22 @@ class Outcome:
     anomalies: str = ""
 
 
+def require_unique_inputs(wide: DataFrame, calendar: DataFrame, prices: DataFrame) -> None:
+    """Raise when the joined rows would hold a series' day twice, before any of them is written.
+
+    That follows from the keys of the three inputs, all much smaller than the joined rows. A day
+    without a date is let through once, as two such days could not be told apart.
+    """
+    quality.require_unique_rows(wide, SERIES)
+    quality.require_unique_rows(calendar, ["d"])
+    quality.require_unique_rows(calendar.filter("date IS NOT NULL"), ["date"])
+    quality.require_unique_rows(prices, ["store_id", "item_id", "wm_yr_wk"])
+    names = reshape.day_columns(wide)
+    dated = calendar.filter(F.col("d").isin(names) & F.col("date").isNotNull()).count()
+    if len(names) - dated > 1:
+        raise ValueError(f"several rows without a date: the calendar has {dated} of {len(names)} days")
+
+
 def ingest(store: Store, raw: RawFiles) -> dict[str, int]:
     """CSV files to three tables; counts come from the stored tables and one count of the input.
 
@@ -103,16 +122,18 @@ def ingest(store: Store, raw: RawFiles) -> dict[str, int]:
     times as many, are never shuffled. Nothing is cached between runs, so changed files are
     always read.
     """
-    spark, n = store.spark, store.buckets
+    spark = store.spark
     wide = files.read_sales_csv(spark, raw.sales)
+    rows = wide.count() * len(reshape.day_columns(wide))
+    n = store.buckets(rows)
     calendar = reshape.parse_calendar(files.read_calendar_csv(spark, raw.calendar))
     calendar = store.write(calendar, "calendar")
     prices = store.write(files.read_prices_csv(spark, raw.prices), "prices")
+    require_unique_inputs(wide, calendar, prices)
     long = reshape.unpivot_days(wide, n)
-    joined = store.write_panel(reshape.join_calendar_prices(long, calendar, prices, n), "sales_long")
-    quality.require_unique_rows(joined)
+    joined = store.write_panel(reshape.join_calendar_prices(long, calendar, prices, n), "sales_long", rows)
     return {
-        "sales_long_rows": wide.count() * len(reshape.day_columns(wide)),
+        "sales_long_rows": rows,
         "joined_rows": joined.count(),
         "calendar_rows": calendar.count(),
         "prices_rows": prices.count(),
@@ -122,7 +143,7 @@ def ingest(store: Store, raw: RawFiles) -> dict[str, int]:
 def build_features(store: Store, settings: Settings) -> DataFrame:
     sales_long = store.read_panel("sales_long").select(*PASS_THROUGH)
     hot = hot_series(sales_long, max_rows=settings.max_series_rows)
-    return store.write_panel(feature_table(sales_long, hot), "feature_table")
+    return store.write_panel(feature_table(sales_long, hot), "feature_table", sales_long.count())
 
 
 def check_features(store: Store, settings: Settings) -> DataFrame:
@@ -201,11 +222,22 @@ def build_sequences(store: Store, settings: Settings) -> dict[str, int]:
     encoder, horizon = settings.encoder, settings.horizon
     training = sequences.training_windows(frame, encoder, horizon, settings.stride, hot)
     validation = sequences.validation_windows(frame, encoder, horizon)
-    return {
+    counts = {
         "training_samples": store.write(training, "training_windows").count(),
         "validation_samples": store.write(validation, "validation_windows").count(),
         "n_series": frame.agg(F.count_distinct("series_id")).first()[0],
     }
+    params = {
+        "state_id": settings.state,
+        "store_id": settings.store,
+        "top_n_items": settings.top_n,
+        "max_encoder_length": encoder,
+        "max_prediction_length": horizon,
+        "stride": settings.stride,
+    }
+    log = models.run_log(store.spark, uuid.uuid4().hex, params, counts)
+    models.append_log(log, store.at("sequence_log"))
+    return counts
 
 
 def forecast_all(store: Store, settings: Settings) -> DataFrame:

@@ -1,3 +1,5 @@
+import dataclasses
+
 import pytest
 from conftest import SMALL, csv_parts, rows
 
@@ -60,6 +62,8 @@ def test_full_run(spark, raw, tmp_path, schema):
     assert rows(again, "item_id", "date", "predicted") == rows(predictions, "item_id", "date", "predicted")
     samples = stages.build_sequences(store, SETTINGS)
     assert samples["n_series"] == samples["validation_samples"] == 25
+    logged = dict(rows(store.read("sequence_log"), "key", "value"))
+    assert logged["max_encoder_length"] == "120" and logged["n_series"] == "25"
     # Window ends from day 120 to the cutoff less the horizon, thinned by the stride.
     assert samples["training_samples"] == 25 * len(range(119, 2499 - 2 * 28, SETTINGS.stride))
     future = stages.forecast_all(store, SETTINGS)
@@ -74,6 +78,22 @@ def test_full_run(spark, raw, tmp_path, schema):
     ]
 
 
+@pytest.mark.parametrize("part", ["sales", "calendar", "prices"])
+def test_repeated_keys_stop_before_the_write(spark, raw, tmp_path, part):
+    once = spark.read.option("header", True).csv(getattr(raw, part))
+    twice = files.write_csv(once.unionByName(once.limit(1)), str(tmp_path / part))
+    store = stages.Store(spark, str(tmp_path / "out"), partitions=4)
+    with pytest.raises(ValueError, match="several rows"):
+        stages.ingest(store, dataclasses.replace(raw, **{part: twice}))
+    assert not (tmp_path / "out" / "sales_long").exists()
+
+
+def test_buckets_follow_the_rows(spark):
+    store = stages.Store(spark, "unused")
+    assert store.buckets(0) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert store.buckets(100 * stages.BUCKET_ROWS) == 100
+
+
 def test_failed_gate_stops_the_run(spark, raw, tmp_path):
     store = stages.Store(spark, str(tmp_path / "out"), partitions=4)
     stages.ingest(store, raw)
