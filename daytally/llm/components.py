@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daytally.session import cut_lineage
 
 
+def release(spark: SparkSession) -> None:
+    """Collects the driver's garbage. Spark removes the shuffle files and checkpoints of a finished
+    round only once the driver has collected what refers to them; until then rounds pile up."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
     """Large star: links each larger neighbour to the least of the neighbourhood. Small star: links
     the node and its smaller neighbours to the least of them."""
@@ -34,6 +40,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         if now == before or not now[0]:
             break
         before = now
+        release(links.sparkSession)
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return nodes.union(roots)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daytally.llm.components import connected_components
+from daytally.llm.components import connected_components, release
 from daytally.llm.order import fresh_name
 from daytally.llm.text import PIECE, SHINGLE, SIMILARITY, U, grouped, mix, shingle_hashes, signed, texts_of, word_hashes
 from daytally.session import cut_lineage, scratch_path
@@ -283,6 +283,7 @@ def similar_sets(docs: DataFrame, join: Join = Join()) -> tuple[DataFrame, DataF
     first = cut_lineage(first)
     one_each = rows.drop("set", "doc_id").join(first, "_row")
     clusters = cut_lineage(connected_components(candidate_edges(one_each, join)))
+    release(spark)
     used = clusters.join(first, clusters["node"] == first["set"]).select("_row", "set", "copies", "component")
     tokens_path = scratch_path(spark, "jaccard-sets")
     exact_sets(docs, used.select("_row", "set"), join.shingle).write.parquet(tokens_path)
@@ -292,7 +293,9 @@ def similar_sets(docs: DataFrame, join: Join = Join()) -> tuple[DataFrame, DataF
     placed = full.join(full.groupBy("component").agg(parts), "component").select("component", "set", "copies", "_parts")
     dealt = tiled(placed, "set", join.seed).join(tokens.select("set", "tokens"), "set")
     found = dealt.groupBy("component", "_i", "_j").applyInArrow(_compare(join), "a long, b long, n long")
-    return cut_lineage(found), members
+    found = cut_lineage(found)
+    release(spark)
+    return found, members
 
 
 def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
