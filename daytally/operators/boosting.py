@@ -1,26 +1,33 @@
-"""Newton boosting of decision trees under the Tweedie loss with a log link."""
+"""Newton boosting of histogram trees under the Tweedie loss with a log link.
+
+Features are binned once. Every round fits one tree to the slopes and curvatures of the rows, leaf by
+leaf, always the leaf with the greatest gain next. A table of bounded size, which a training subset
+is, is boosted in one task; a larger one stays spread, and each level of a tree is one aggregate. Both
+ways grow the same trees. Rows of a validation part have their scores carried along: each round's
+figure costs no second scoring.
+"""
 
 from __future__ import annotations
 
 import math
-import random
-import uuid
+import sys
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark import SparkContext
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import ElementwiseProduct, SQLTransformer, VectorAssembler
-from pyspark.ml.linalg import Vectors
-from pyspark.ml.regression import (
-    DecisionTreeRegressionModel,
-    DecisionTreeRegressor,
-    GBTRegressionModel,
-)
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daytally.operators.histogram import Growing, SparkRows, TaskRows, bin_edges, binned, grow
+from daytally.operators.trees import TreeModel, Trees, joined
 from daytally.schemas import MODEL_FEATURES, TARGET
-from daytally.session import cut_lineage
+from daytally.session import drop_path, scratch_path
+
+# Functions used inside tasks travel with the task, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Loss power, step, leaves, rows per leaf, column share, rounds and seed.
 POWER = 1.1
@@ -53,87 +60,130 @@ def tweedie_deviance(
 
 @dataclass(frozen=True)
 class TweedieBoosting:
-    """Each round fits one tree to -slope/curvature weighted by curvature.
+    """The weighted mean in a leaf is the Newton step of that leaf.
 
-    The weighted mean in a leaf is then the Newton step of that leaf. Trees grow by level, so the
-    leaf limit becomes a depth limit. ``row_share`` below 1 samples rows anew in every round.
+    ``row_share`` below 1 samples rows anew in every round. ``task_rows`` rows at most are boosted
+    in one task; above, each level of a tree is a Spark job. ``max_depth`` is unlimited by default.
     """
 
     rounds: int = ROUNDS
     learning_rate: float = LEARNING_RATE
     power: float = POWER
-    max_depth: int = math.ceil(math.log2(LEAVES))
+    leaves: int = LEAVES
+    max_depth: int | None = None
     min_rows: int = MIN_ROWS
     column_share: float = COLUMN_SHARE
     row_share: float = 1.0
-    max_bins: int = 256
+    max_bins: int = 255
     seed: int = SEED
     cut_every: int = 5
+    task_rows: int = 2_000_000
+
+    def fit(self, train: DataFrame, features: list[str] = MODEL_FEATURES, target: str = TARGET) -> PipelineModel:
+        return self.fit_with_rounds(train, None, features, target)[0]
 
-    def fit(
-        self, train: DataFrame, features: list[str] = MODEL_FEATURES, target: str = TARGET
-    ) -> PipelineModel:
-        assembler = VectorAssembler(inputCols=features, outputCol="features")
+    def fit_with_rounds(
+        self, train: DataFrame, valid: DataFrame | None, features: list[str] = MODEL_FEATURES, target: str = TARGET
+    ) -> tuple[PipelineModel, DataFrame]:
+        """The model, and (round, train_deviance, valid_deviance) of every round from 1; the latter
+        is null without validation rows."""
+        spark = train.sparkSession
         y = F.col(target).cast("double").alias("y")
-        stored = cut_lineage(assembler.transform(train).select("features", y))
-        mean, least = stored.agg(F.avg("y"), F.min("y")).first()
+        edges = bin_edges(train, features, self.max_bins)
+        parts = [(train, True), *([(valid, False)] if valid is not None else [])]
+        rows = [p.select(binned(edges, features).alias("bins"), y, F.lit(t).alias("learned")) for p, t in parts]
+        path = scratch_path(spark, "boosting")
+        (rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])).write.parquet(path)
+        stored = spark.read.parquet(path)
+        size, mean, least = stored.agg(F.count("*"), F.avg(F.when(F.col("learned"), F.col("y"))), F.min(F.when(F.col("learned"), F.col("y")))).first()
         if mean is None or mean <= 0 or least < 0:
             raise ValueError("the target must be non-negative with a positive mean")
         start = math.log(mean)
-        trees = self._trees(stored.withColumn("score", F.lit(start)), len(features))
-        return PipelineModel([assembler, self._sum(trees), self._link(start)])
-
-    def _trees(self, state: DataFrame, width: int) -> list[DecisionTreeRegressionModel]:
-        """The driver only loops over rounds; rows stay on the executors.
-
-        Scores of earlier rounds are recomputed from the last reliable checkpoint.
+        boost = self._in_task if size <= self.task_rows else self._spread
+        trees, figures = boost(stored, edges, start)
+        drop_path(spark, path)
+        model = TreeModel(trees, tuple(features), log_link=True, start=start)
+        return PipelineModel([model]), self._figures(spark, figures)
+
+    def _figures(self, spark: SparkSession, figures: list[tuple[float, float | None]]) -> DataFrame:
+        rows = [(i, *f) for i, f in enumerate(figures, 1)]
+        return spark.createDataFrame(rows, "round int, train_deviance double, valid_deviance double")
+
+    def _columns(self, number: int, width: int) -> np.ndarray:
+        """Features that a round may split on."""
+        keep = max(1, round(self.column_share * width))
+        return np.sort(np.random.default_rng([self.seed, number]).permutation(width)[:keep])
+
+    def _growing(self, columns: np.ndarray) -> Growing:
+        return Growing(self.max_bins, columns, self.min_rows, self.max_depth)
+
+    def _in_task(self, stored: DataFrame, edges: list[np.ndarray], start: float) -> tuple[Trees, list]:
+        """All rounds in one task, over rows whose number is bounded; nodes and figures come back."""
+
+        def boost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(batches)
+            codes = table["bins"].combine_chunks().flatten().to_numpy().reshape(-1, len(edges))
+            y, learned = table["y"].to_numpy(), table["learned"].to_numpy()
+            for tree, (train, valid) in self._rounds(codes, y, learned, edges, start):
+                feature, threshold, left = tree
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "feature": [feature.tobytes()], "threshold": [threshold.tobytes()], "left": [left.tobytes()],
+                        "train": pa.array([train], pa.float64()), "valid": pa.array([valid], pa.float64()),
+                    }
+                )
+
+        schema = "feature binary, threshold binary, left binary, train double, valid double"
+        # In a fixed order, so that the same rows give the same sums.
+        ordered = stored.repartition(1).sortWithinPartitions("learned", "bins", "y")
+        rows = ordered.mapInArrow(boost, schema).toArrow().to_pylist()
+        kinds = {"feature": np.int16, "threshold": np.float64, "left": np.int32}
+        trees = [tuple(np.frombuffer(r[name], kind) for name, kind in kinds.items()) for r in rows]
+        return joined(trees), [(r["train"], r["valid"]) for r in rows]
+
+    def _rounds(self, codes: np.ndarray, y: np.ndarray, learned: np.ndarray, edges: list[np.ndarray], start: float) -> Iterator[tuple]:
+        rows, score, counted = TaskRows(codes, self.max_bins), np.full(len(y), start), np.flatnonzero(learned)
+        p = self.power
+        for number in range(self.rounds):
+            up, down = np.exp((2 - p) * score), y * np.exp((1 - p) * score)
+            some = counted
+            if self.row_share < 1:
+                some = counted[np.random.default_rng([self.seed, number, 1]).random(len(counted)) < self.row_share]
+            growing = self._growing(self._columns(number, codes.shape[1]))
+            root = rows.start(growing.columns, up - down, (2 - p) * up + (p - 1) * down, some)
+            grow(root, rows.ask, self.leaves, growing, eager=False)
+            score += rows.steps(growing, self.learning_rate)
+            part = 2 * (np.exp((2 - p) * score) / (2 - p) - y * np.exp((1 - p) * score) / (1 - p))
+            figures = part[learned].mean(), part[~learned].mean() if len(counted) < len(y) else None
+            yield growing.arrays(edges, self.learning_rate), figures
+
+    def _spread(self, stored: DataFrame, edges: list[np.ndarray], start: float) -> tuple[Trees, list]:
+        """The driver loops over rounds and levels; rows stay on the executors.
+
+        Scores of earlier rounds are recomputed from the last stored ones, which replace those before.
         """
-        learner = DecisionTreeRegressor(
-            featuresCol="shown",
-            labelCol="step",
-            weightCol="curvature",
-            maxDepth=self.max_depth,
-            maxBins=self.max_bins,
-            minInstancesPerNode=self.min_rows,
-            seed=self.seed,
-        )
-        y, score = F.col("y"), F.col("score")
-        curvature = tweedie_curvature(y, score, self.power)
-        step = -tweedie_slope(y, score, self.power) / F.col("curvature")
-        trees = []
+        spark = stored.sparkSession
+        y, score, p = F.col("y"), F.col("score"), self.power
+        state = stored.withColumns({"score": F.lit(start), "_id": F.monotonically_increasing_id()})
+        trees, figures, path = [], [], None
         for number in range(self.rounds):
-            rows = state if self.row_share >= 1 else state.sample(self.row_share, self.seed + number)
-            shown = self._hide_columns(number, width).transform(rows)
-            tree = learner.fit(shown.withColumn("curvature", curvature).withColumn("step", step))
-            tree.setFeaturesCol("features").setPredictionCol("jump")
-            trees.append(tree)
-            state = tree.transform(state).select(
-                "features", "y", (score + self.learning_rate * F.col("jump")).alias("score")
-            )
+            counted = F.col("learned")
+            if self.row_share < 1:
+                counted = counted & (F.pmod(F.xxhash64("_id", F.lit(number)), F.lit(1 << 20)) < int(self.row_share * (1 << 20)))
+            derived = {"slope": tweedie_slope(y, score, p), "curvature": tweedie_curvature(y, score, p), "counted": counted}
+            rows, growing = SparkRows(self.max_bins), self._growing(self._columns(number, len(edges)))
+            root = rows.start(state.withColumns(derived).select("bins", *derived), growing.columns)
+            grow(root, rows.ask, self.leaves, growing, eager=True)
+            trees.append(growing.arrays(edges, self.learning_rate))
+            state = state.withColumn("score", score + rows.steps(growing, self.learning_rate))
             if (number + 1) % self.cut_every == 0 and number + 1 < self.rounds:
-                state = cut_lineage(state)
-        return trees
-
-    def _hide_columns(self, number: int, width: int) -> ElementwiseProduct:
-        """Zero the columns left out this round: a constant column is never split on."""
-        keep = max(1, round(self.column_share * width))
-        chosen = set(random.Random(self.seed * 1_000_003 + number).sample(range(width), keep))
-        mask = Vectors.dense([1.0 if i in chosen else 0.0 for i in range(width)])
-        return ElementwiseProduct(scalingVec=mask, inputCol="features", outputCol="shown")
-
-    def _sum(self, trees: list[DecisionTreeRegressionModel]) -> GBTRegressionModel:
-        """One Spark model that adds up all trees, so it predicts in one pass and can be saved."""
-        sc = SparkContext.getOrCreate()
-        package = sc._jvm.org.apache.spark.ml.regression
-        members = sc._gateway.new_array(package.DecisionTreeRegressionModel, len(trees))
-        weights = sc._gateway.new_array(sc._jvm.double, len(trees))
-        for i, tree in enumerate(trees):
-            members[i] = tree._java_obj
-            weights[i] = self.learning_rate
-        model = package.GBTRegressionModel(f"tweedie_{uuid.uuid4().hex[:12]}", members, weights)
-        return GBTRegressionModel(model).setPredictionCol("score")
-
-    def _link(self, start: float) -> SQLTransformer:
-        return SQLTransformer(
-            statement=f"SELECT *, exp({start!r}D + score) AS prediction FROM __THIS__"
-        )
+                before, path = path, scratch_path(spark, "scores")
+                state.write.parquet(path)
+                state = spark.read.parquet(path)
+                if before:
+                    drop_path(spark, before)
+            part = 2 * (F.exp((2 - p) * score) / (2 - p) - y * F.exp((1 - p) * score) / (1 - p))
+            figures.append(tuple(state.agg(F.avg(F.when(F.col("learned"), part)), F.avg(F.when(~F.col("learned"), part))).first()))
+        if path:
+            drop_path(spark, path)
+        return joined(trees), figures

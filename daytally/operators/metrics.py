@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Row, WindowSpec
 from pyspark.sql import functions as F
 
 from daytally.functions.series import with_series_windows
@@ -97,13 +97,18 @@ def wrmsse(
     return totals.select(score.alias("wrmsse"), "matched_rows", "total_weight")
 
 
-def wrmsse_score(
-    actual: DataFrame, pred: DataFrame, train: DataFrame, hot: DataFrame | None = None
-) -> float:
-    """The score as a number; no matching row or no weight is an error, not a zero."""
-    row = wrmsse(actual, pred, train, hot).first()
+def require_score(row: Row) -> None:
+    """No matching row and no weight are errors, not a score of zero."""
     if not row["matched_rows"]:
         raise ValueError(f"actual and pred share no row on {ROW}")
     if not row["total_weight"] or row["total_weight"] <= 0:
         raise ValueError("the total weight of all series is not positive")
+
+
+def wrmsse_score(
+    actual: DataFrame, pred: DataFrame, train: DataFrame, hot: DataFrame | None = None
+) -> float:
+    """The score as a number."""
+    row = wrmsse(actual, pred, train, hot).first()
+    require_score(row)
     return float(row["wrmsse"])

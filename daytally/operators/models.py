@@ -3,60 +3,25 @@
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass
+from dataclasses import asdict
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daytally.operators.boosting import TweedieBoosting
-from daytally.operators.metrics import mean_absolute_error, wrmsse
+from daytally.operators.forest import Forest
+from daytally.operators.metrics import mean_absolute_error, require_score, wrmsse
 from daytally.operators.selection import prediction_frame
-from daytally.schemas import MODEL_FEATURES, TARGET
 
-# Forest size and seed, and the names and key prefixes that run logs use, with the
-# boosted model first because it wins a tie.
-FOREST_TREES = 100
-FOREST_SEED = 42
+# The names and key prefixes that run logs use, with the boosted model first because it
+# wins a tie.
 BOOSTED = "lightgbm"
 FOREST = "random_forest"
 PRIORITY = [BOOSTED, FOREST]
 PREFIX = {BOOSTED: "lgb", FOREST: "rf"}
 
 
-@dataclass(frozen=True)
-class Forest:
-    """All features compete at every split; depth is bounded because trees grow by level.
-
-    ``memory_mb`` bounds the split statistics of one pass: more memory, fewer passes over the rows.
-    """
-
-    trees: int = FOREST_TREES
-    seed: int = FOREST_SEED
-    max_depth: int = 16
-    max_bins: int = 256
-    memory_mb: int = 1024
-
-    def fit(
-        self, train: DataFrame, features: list[str] = MODEL_FEATURES, target: str = TARGET
-    ) -> PipelineModel:
-        assembler = VectorAssembler(inputCols=features, outputCol="features")
-        learner = RandomForestRegressor(
-            featuresCol="features",
-            labelCol=target,
-            numTrees=self.trees,
-            seed=self.seed,
-            maxDepth=self.max_depth,
-            maxBins=self.max_bins,
-            maxMemoryInMB=self.memory_mb,
-            featureSubsetStrategy="all",
-        )
-        rows = assembler.transform(train).select("features", F.col(target).cast("double"))
-        return PipelineModel([assembler, learner.fit(rows)])
-
-
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """Keys, actual and predicted of every row."""
     return prediction_frame(model.transform(rows))
@@ -65,13 +30,16 @@ def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
 def evaluate(
     name: str, predictions: DataFrame, train: DataFrame, hot: DataFrame | None = None
 ) -> DataFrame:
-    """One row ``(model, mae, wrmsse)``; weights are units, as training has no price in them."""
+    """One row ``(model, mae, wrmsse)``; weights are units, as training has no price in them.
+
+    Predictions that match no actual row, and weights that add up to nothing, are errors of their own.
+    """
     actual = predictions.withColumnRenamed("actual", "sales")
     pred = predictions.withColumnRenamed("predicted", "pred")
-    score = wrmsse(actual.drop("predicted"), pred.drop("actual"), train, hot).select("wrmsse")
-    scores = {"mae": mean_absolute_error(predictions).scalar(), "wrmsse": score.scalar()}
-    one_row = predictions.sparkSession.range(1)
-    return one_row.select(F.lit(name).alias("model"), *[c.alias(n) for n, c in scores.items()])
+    score = wrmsse(actual.drop("predicted"), pred.drop("actual"), train, hot).first()
+    require_score(score)
+    scores = mean_absolute_error(predictions).withColumns({"model": F.lit(name), "wrmsse": F.lit(score["wrmsse"])})
+    return scores.select("model", "mae", "wrmsse")
 
 
 def compare(
@@ -118,6 +86,17 @@ def run_log(
     return spark.createDataFrame(rows, "run_id string, kind string, key string, value string")
 
 
+def round_log(run_id: str, model: str, rounds: DataFrame) -> DataFrame:
+    """Rows of the run log for the validation figure of every boosting round."""
+    key = F.format_string(f"{PREFIX[model]}_val_deviance_%04d", "round")
+    return rounds.select(
+        F.lit(run_id).alias("run_id"),
+        F.lit("round").alias("kind"),
+        key.alias("key"),
+        F.col("valid_deviance").cast("string").alias("value"),
+    )
+
+
 def model_params(settings: dict[str, Forest | TweedieBoosting]) -> dict[str, object]:
     return {f"{PREFIX[m]}_{k}": v for m, s in settings.items() for k, v in asdict(s).items()}
 

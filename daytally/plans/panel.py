@@ -15,7 +15,7 @@ from daytally.sources.files import read_table
 STORE = "AMERICA"
 STATE = "AM"
 PARTS_PER_ITEM = 4000
-TOP_ITEMS = 10
+TOP_ITEMS = 100
 TRAIN_END = "2001-07-01"
 VAL_START = "2001-07-02"
 VAL_END = "2001-07-29"

@@ -15,6 +15,7 @@ from daytally.functions.series import with_series_windows
 from daytally.operators import anomaly, features, forecast, metrics, models, quality
 from daytally.operators import reshape, selection, sequences
 from daytally.operators.boosting import TweedieBoosting, tweedie_curvature, tweedie_slope
+from daytally.operators.forest import Forest
 from daytally.plans import panel as P
 from daytally.plans import stages
 from daytally.schemas import MODEL_FEATURES, ROW, SERIES, TARGET, WIDE_IDS
@@ -23,11 +24,9 @@ from daytally.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# ``forest_predictions`` has the library's forest. Where a query fits a forest besides other work, it
-# has fewer and smaller trees, and boosting has fewer rounds than the library's 1000, each of which
-# is a Spark job of about a second: see the open points in the README.
-FOREST = models.Forest(trees=20, max_depth=8)
-BOOSTING = TweedieBoosting(rounds=10, learning_rate=0.1)
+# The library's own settings: 100 unbounded trees, and 1000 rounds of 127 leaves.
+FOREST = Forest()
+BOOSTING = TweedieBoosting()
 HOT_CHUNK = 512
 
 
@@ -254,7 +253,7 @@ def combined_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def forest_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, val = _model_rows(spark, sf_dir)
-    return models.predict(models.Forest().fit(train), val)
+    return models.predict(FOREST.fit(train), val)
 
 
 def tweedie_step(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,11 +270,13 @@ def tweedie_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.predict(BOOSTING.fit(train), val)
 
 
-def _scored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, PipelineModel], DataFrame]:
+def _scored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Training rows, figures of the boosting rounds, and scores of both models."""
     train, val = _model_rows(spark, sf_dir)
-    fitted = {models.BOOSTED: BOOSTING.fit(train), models.FOREST: FOREST.fit(train)}
+    boosted, rounds = BOOSTING.fit_with_rounds(train, val)
+    fitted = {models.BOOSTED: boosted, models.FOREST: FOREST.fit(train)}
     predictions = {name: cut_lineage(models.predict(m, val)) for name, m in fitted.items()}
-    return train, fitted, models.compare(predictions, train)
+    return train, rounds, models.compare(predictions, train)
 
 
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -296,7 +297,7 @@ def best_of_naive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, _, scores = _scored(spark, sf_dir)
+    train, rounds, scores = _scored(spark, sf_dir)
     rows = scores.collect()
     best = min(rows, key=lambda r: (r["mae"], models.PRIORITY.index(r["model"])))["model"]
     params = {
@@ -311,7 +312,8 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     for row in rows:
         prefix = models.PREFIX[row["model"]]
         values |= {f"{prefix}_val_mae": row["mae"], f"{prefix}_wrmsse": row["wrmsse"]}
-    return models.run_log(spark, "registered", params, values)
+    log = models.run_log(spark, "registered", params, values)
+    return log.unionByName(models.round_log("registered", models.BOOSTED, rounds))
 
 
 # --- sequences and forecast ---

@@ -13,9 +13,10 @@ from daytally.operators import models, quality, reshape, selection, sequences
 from daytally.operators.anomaly import Z_THRESHOLD, detect
 from daytally.operators.boosting import TweedieBoosting
 from daytally.operators.features import feature_table
+from daytally.operators.forest import Forest
 from daytally.operators.forecast import horizon_forecast
 from daytally.operators.isolation import IsolationForest
-from daytally.operators.models import BOOSTED, FOREST, Forest
+from daytally.operators.models import BOOSTED, FOREST
 from daytally.schemas import MODEL_FEATURES, PASS_THROUGH, SERIES, TARGET
 from daytally.sources import files
 
@@ -163,7 +164,8 @@ def train(store: Store, settings: Settings) -> str:
     val_rows = store.write(selection.complete_rows(val_part), "val_rows")
 
     learners = {BOOSTED: settings.boosting, FOREST: settings.forest}
-    fitted = {name: learner.fit(train_rows) for name, learner in learners.items()}
+    boosted, rounds = settings.boosting.fit_with_rounds(train_rows, val_rows)
+    fitted = {BOOSTED: boosted, FOREST: settings.forest.fit(train_rows)}
     scored = {
         name: store.write(models.predict(model, val_rows), f"predictions_{name}")
         for name, model in fitted.items()
@@ -200,8 +202,9 @@ def train(store: Store, settings: Settings) -> str:
     for row in scores.collect():
         prefix = models.PREFIX[row["model"]]
         metrics |= {f"{prefix}_val_mae": row["mae"], f"{prefix}_wrmsse": row["wrmsse"]}
-    log = models.run_log(store.spark, uuid.uuid4().hex, params, metrics)
-    models.append_log(log, store.at("run_log"))
+    run_id = uuid.uuid4().hex
+    log = models.run_log(store.spark, run_id, params, metrics)
+    models.append_log(log.unionByName(models.round_log(run_id, BOOSTED, rounds)), store.at("run_log"))
     return best
 
 
