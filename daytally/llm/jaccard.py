@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daytally.llm.components import connected_components, release
@@ -56,16 +56,17 @@ class Join:
         return math.ceil(math.log(1 - self.recall) / math.log(1 - alive))
 
 
-def _paths(tokens: np.ndarray, join: Join, runs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Step, path before and path of all chosen paths of a set of shingles."""
+def _paths(tokens: np.ndarray, join: Join, runs: int) -> tuple[np.ndarray, ...]:
+    """Step, run, path before and path of all chosen paths of a set of shingles."""
     limit = np.uint32(min(2**32 - 1, int(join.branching / len(tokens) * 2**32)))
     short = (tokens >> U(32)).astype(np.uint32)  # enough to choose by; paths keep all bits
     paths = mix(np.arange(runs, dtype=np.uint64) + U(join.seed * 1_000_003))
+    run = np.arange(runs, dtype=np.int16)
     out = []
     for step in range(1, join.depth + 1):
         if not len(paths):
             break
-        before, after = [], []
+        before, after, own = [], [], []
         # A bounded number of hashes at once, however long the text.
         width = max(1, (1 << 20) // len(tokens))
         for at in range(0, len(paths), width):
@@ -74,9 +75,10 @@ def _paths(tokens: np.ndarray, join: Join, runs: int) -> tuple[np.ndarray, np.nd
             low = (short[None, :] ^ seeds) * (seeds | np.uint32(1)) <= limit
             row, column = np.divmod(np.flatnonzero(low), len(tokens))
             before.append(some[row])
+            own.append(run[at + row])
             after.append(mix(tokens[column] * U(3) + some[row]))
-        old, paths = np.concatenate(before), np.concatenate(after)
-        out.append((np.full(len(paths), step, np.int32), signed(old), signed(paths)))
+        old, paths, run = np.concatenate(before), np.concatenate(after), np.concatenate(own)
+        out.append((np.full(len(paths), step, np.int32), run, signed(old), signed(paths)))
     return tuple(np.concatenate(column) for column in zip(*out, strict=True))
 
 
@@ -112,7 +114,7 @@ def set_number(tokens: np.ndarray) -> int | None:
 def described(docs: DataFrame, join: Join) -> DataFrame:
     """_row, doc_id, set, size, sketch and nodes of every document; set is null without words."""
     runs = join.runs()
-    none = (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    none = (np.zeros(0, np.int32), np.zeros(0, np.int16), np.zeros(0, np.int64), np.zeros(0, np.int64))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,14 +127,14 @@ def described(docs: DataFrame, join: Join) -> DataFrame:
                     sketches.append(_sketch(tokens, join.sketch) if len(tokens) else None)
                     nodes.append(_paths(tokens, join, runs) if len(tokens) else none)
                 ends = np.cumsum([0, *(len(n[0]) for n in nodes)]).astype(np.int32)
-                flat = pa.StructArray.from_arrays([np.concatenate(c) for c in zip(none, *nodes, strict=True)], names=["step", "before", "path"])
+                flat = pa.StructArray.from_arrays([np.concatenate(c) for c in zip(none, *nodes, strict=True)], names=["step", "run", "before", "path"])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("_row"), part.column("doc_id"), pa.array(sets, pa.int64()), pa.array(sizes, pa.int32()), pa.array(sketches, pa.binary()), pa.ListArray.from_arrays(ends, flat)],
                     names=["_row", "doc_id", "set", "size", "sketch", "nodes"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"_row long, doc_id {kind}, set long, size int, sketch binary, nodes array<struct<step:int,before:long,path:long>>"
+    schema = f"_row long, doc_id {kind}, set long, size int, sketch binary, nodes array<struct<step:int,run:smallint,before:long,path:long>>"
     return docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text").mapInArrow(describe, schema)
 
 
@@ -179,12 +181,19 @@ def _bucket_edges(join: Join):
     return F.arrow_udf(search, "array<struct<a:long,b:long>>")
 
 
-def candidate_edges(sets: DataFrame, join: Join) -> DataFrame:
-    """Edges (a, b) that connect all sets which met in a bucket with sketches near enough.
+def _meetings(sets: DataFrame, runs: Column, groups: DataFrame | None, join: Join) -> DataFrame:
+    """Edges (a, b) of sets that meet in a bucket of the chosen runs with sketches near enough.
 
-    ``sets`` has one row per different set. A bucket gives fewer edges than it has texts.
+    With ``groups`` (node, component) of sets that are connected already, only buckets where several
+    groups meet are searched. A bucket gives fewer edges than it has texts.
     """
-    nodes = sets.select("set", F.explode("nodes").alias("n")).select("set", "n.step", "n.before", "n.path")
+    nodes = sets.select("set", F.explode("nodes").alias("n")).where(runs).select("set", "n.step", "n.before", "n.path")
+    if groups is None:
+        nodes = nodes.withColumn("group", F.col("set"))
+    else:
+        named = groups.select(F.col("node").alias("set"), "component")
+        nodes = nodes.join(F.broadcast(named) if named.count() <= BROADCAST_ROWS else named, "set", "left")
+        nodes = nodes.withColumn("group", F.coalesce("component", "set")).drop("component")
     sketches = sets.select("set", "size", "sketch")
     search = _bucket_edges(join)
     found, parents = None, None
@@ -195,9 +204,12 @@ def candidate_edges(sets: DataFrame, join: Join) -> DataFrame:
 
     for step in range(1, join.depth + 1):
         here = nodes.where(F.col("step") == step)
+        # A path has one path before it: its bucket's parent is looked up once, not once a text.
+        counted = here.groupBy("path").agg(F.count("*").alias("n"), F.min("before").alias("before"), F.min("group").alias("_lo"), F.max("group").alias("_hi"))
+        counted = counted.where("n > 1 and _lo <> _hi").select("path", "before", "n")
         if parents is not None:
-            here = here.join(parents, "before", "left_semi")
-        counted = cut_lineage(here.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"))
+            counted = counted.join(parents, "before", "left_semi")
+        counted = cut_lineage(counted.select("path", "n"))
         members = here.join(counted, "path").select("path", "set", "n")
         edges = searched(members.where(F.col("n") <= join.bucket), "path")
         found = edges if found is None else found.union(edges)
@@ -207,6 +219,19 @@ def candidate_edges(sets: DataFrame, join: Join) -> DataFrame:
     return found.union(searched(tiled(large, "set", join.seed), "path", "_i", "_j")).distinct()
 
 
+def candidate_edges(sets: DataFrame, join: Join) -> DataFrame:
+    """Edges (a, b) that connect all sets which met in a bucket with sketches near enough.
+
+    ``sets`` has one row per different set. The first run connects what belongs together in the
+    main. As all pairs of a group are compared in the end, the other runs need not look into buckets
+    that hold sets of one group only, such as those of a large group of near copies.
+    """
+    run = F.col("n.run")
+    first = cut_lineage(_meetings(sets, run == 0, None, join))
+    groups = cut_lineage(connected_components(first))
+    return first.union(_meetings(sets, run > 0, groups, join))
+
+
 def tiled(rows: DataFrame, key: str, seed: int) -> DataFrame:
     """Deals rows with ``_parts`` parts by the hash of their key, each row to every pair of parts
     (_i, _j) that has its own; ``_own`` is that."""
@@ -268,7 +293,8 @@ def _compare(join: Join):
 def similar_sets(docs: DataFrame, join: Join = Join()) -> tuple[DataFrame, DataFrame]:
     """(found, members): members give every document's shingle set; found has, for sets that are
     similar to others, the number of similar documents (a, null, n), and enough of the links
-    (a, b, 0) to connect all that are linked.
+    (a, b, 0) to connect all that are linked. ``docs`` is read twice and has to give the same rows in
+    the same order each time, as a stored table does.
 
     Sets that buckets connect make up clusters. A cluster is compared pair by pair on whole sets,
     in tiles of two parts of bounded size; each pair meets in one tile, and no tile gives more rows

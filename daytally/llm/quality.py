@@ -12,6 +12,7 @@ one number per feature.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,30 +24,37 @@ from pyspark.sql import functions as F
 from daytally.llm.text import PIECE, U, code_points, grouped, mix, texts_of
 
 SPACES = (0, 9, 10, 11, 12, 13, 32)
+_BLANKS = "".join(map(chr, SPACES))
+_BLANK = re.compile(f"[{_BLANKS}]")
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample`` labelled rows with ``row_features`` distinct features each bound the training."""
+    """``sample`` labelled rows bound the training; each has ``buckets`` distinct features at most."""
 
     buckets: int = 1 << 17
     dimensions: int = 8
     ngrams: tuple[int, ...] = (3, 4)
     sample: int = 2000
-    row_features: int = 1024
     epochs: int = 12
     rate: float = 4.0
     seed: int = 7
 
 
-def _text_features(text_list: list[str], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all features, and the number of the text that each one belongs to."""
+def _text_features(text_list: list[str], settings: Settings, skip: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all features, and the number of the text that each one belongs to.
+
+    Features that begin in the first ``skip`` code points are left out; a pair begins with its second
+    word here.
+    """
     codes = code_points("\0" + "\0".join(text_list) + "\0").astype(np.uint64)
     space = np.isin(codes, SPACES)
     owner = np.repeat(np.arange(len(text_list)), [len(t) + 1 for t in text_list])
     ids, owners = [], []
 
     def add(hashes: np.ndarray, at: np.ndarray) -> None:
+        if skip:
+            hashes, at = hashes[at > skip], at[at > skip]
         ids.append((mix(hashes) >> U(40)).astype(np.int64) & (settings.buckets - 1))
         owners.append(owner[at])
 
@@ -77,16 +85,30 @@ def _text_features(text_list: list[str], settings: Settings) -> tuple[np.ndarray
     return np.concatenate([none, *ids]), np.concatenate([none, *owners])
 
 
+def pieces(text: str) -> Iterator[tuple[int, int, int]]:
+    """(start, end, skip) of the pieces of a long text, cut at white space. A piece begins with the
+    last word of the one before, which is skipped but for the pair that it makes with the next word.
+    A run of ``PIECE`` code points without white space is cut where it is."""
+    at = skip = 0
+    while at < len(text):
+        end = min(len(text), at + skip + PIECE)
+        if end < len(text):
+            found = _BLANK.search(text, end, end + PIECE)
+            end = found.start() if found else end
+        yield at, end, skip
+        last = text[max(at, end - PIECE) : end].rstrip(_BLANKS)
+        word = max(last.rfind(c) for c in _BLANKS) + 1
+        carried = 0 < word < len(last) and end < len(text) and text[end] in _BLANKS
+        at = max(at, end - PIECE) + word if carried else end
+        skip = end - at
+
+
 def features(texts: list[str], settings: Settings) -> Iterator[tuple[int, np.ndarray]]:
     """(number of the text, buckets of its features), in bounded pieces; long texts come in parts."""
     for first, last in grouped(texts):
         if last == first + 1 and len(texts[first]) > PIECE:
-            text, at = texts[first], 0
-            while at < len(text):
-                end = len(text) if len(text) - at <= PIECE else text.find(" ", at + PIECE)
-                end = len(text) if end < 0 else end
-                yield first, _text_features([text[at:end]], settings)[0]
-                at = end
+            for start, end, skip in pieces(texts[first]):
+                yield first, _text_features([texts[first][start:end]], settings, skip)[0]
         else:
             ids, owners = _text_features(texts[first:last], settings)
             order = np.argsort(owners, kind="stable")
@@ -165,9 +187,9 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> QualityModel:
     """Model of ``labels.quality``, from ``settings.sample`` labelled rows in order of their hash.
 
-    Held-out rows, labels other than 0 and 1, and labels without a document are not used. A row
-    with more distinct features than ``settings.row_features`` is represented by as many of them,
-    drawn by hash.
+    Held-out rows, labels other than 0 and 1, and labels without a document are not used. Whole texts
+    are learned from. The sampled rows are turned into counted features where they are read and
+    train the model in one task; two numbers a bucket at most come back.
     """
     known = labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
     known = known.select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("_label")).distinct()
@@ -186,25 +208,30 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
             for i in range(len(texts)):
                 parts = found.get(i, [(np.zeros(0, np.int64), np.zeros(0, np.int64))])
                 ids, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-                counts = np.bincount(where, np.concatenate([p[1] for p in parts]), len(ids))
-                if len(ids) > settings.row_features:
-                    kept = np.argsort(mix(ids.astype(np.uint64)), kind="stable")[: settings.row_features]
-                    ids, counts = ids[kept], counts[kept]
                 ids_out.append(ids.astype(np.int32))
-                counts_out.append(counts.astype(np.int32))
+                counts_out.append(np.bincount(where, np.concatenate([p[1] for p in parts]), len(ids)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_order"), batch.column("_id"), batch.column("_label"), pa.array(ids_out, pa.list_(pa.int32())), pa.array(counts_out, pa.list_(pa.int32()))],
                 names=["_order", "_id", "_label", "ids", "counts"],
             )
 
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sample = [
+            (ids.values.to_numpy().astype(np.int64), counts.values.to_numpy().astype(np.float64), label.as_py())
+            for batch in batches
+            for ids, counts, label in zip(batch.column("ids"), batch.column("counts"), batch.column("_label"), strict=True)
+        ]
+        model = train(sample, settings)
+        yield pa.RecordBatch.from_pydict({"table": [model.table.astype(np.float64).tobytes()], "bias": [model.bias]})
+
     kind = rows.schema["_id"].dataType.simpleString()
     reduced = rows.select("_order", "_id", "_label", "text").mapInArrow(reduce, f"_order long, _id {kind}, _label int, ids array<int>, counts array<int>")
-    table = reduced.toArrow().combine_chunks().sort_by([("_order", "ascending"), ("_id", "ascending"), ("_label", "ascending")])
-    sample = [
-        (np.array(ids.values, np.int64), np.array(counts.values, np.float64), label.as_py())
-        for ids, counts, label in zip(table["ids"], table["counts"], table["_label"], strict=True)
-    ]
-    return train(sample, settings)
+    # Repeated rows of a document have equal features, so any order of them is the same.
+    ordered = reduced.repartition(1).sortWithinPartitions("_order", "_id", "_label", F.size("ids"), "ids", "counts")
+    found = ordered.select("_label", "ids", "counts").mapInArrow(learn, "table binary, bias double").first()
+    if found is None:
+        return train([], settings)
+    return QualityModel(np.frombuffer(bytes(found["table"]), np.float64), found["bias"], settings)
 
 
 def score_column(model: QualityModel, text: Column) -> Column:

@@ -96,6 +96,17 @@ def test_long_texts_score_as_the_sum_of_their_parts():
     assert model.score([t, "b"])[0] == pytest.approx(1 / (1 + math.exp(-(model.table[whole].mean() + 0.1))), abs=1e-3)
 
 
+def test_pieces_lose_no_feature(monkeypatch):
+    settings = quality.Settings()
+    rng = random.Random(5)
+    t = "".join(rng.choice(["ab", "c", "déf ", "\n", " ", "\t x"]) for _ in range(3000))
+    whole = collections.Counter(quality._text_features([t], settings)[0].tolist())
+    monkeypatch.setattr(quality, "PIECE", 100)
+    found = collections.Counter(i for _, ids in quality.features([t], settings) for i in ids.tolist())
+    assert found == whole and len(list(quality.pieces(t))) > 20
+    assert all(b - a <= 300 for a, b, _ in quality.pieces("x" * 5000 + " y" * 500))
+
+
 # --- 2 pages ---
 
 PAGE = (
@@ -286,6 +297,7 @@ def test_jaccard_join_equals_brute_force(spark):
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(100, 90), (5, 5)], "a long, b long")
     found = {r["node"]: r["component"] for r in components.connected_components(links).collect()}
+    assert found == {r["node"]: r["component"] for r in components.connected_components(links, task_links=0).collect()}
     assert found == {**{i: 0 for i in range(61)}, 90: 90, 100: 90}
 
 
