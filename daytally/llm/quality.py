@@ -94,13 +94,17 @@ def pieces(text: str) -> Iterator[tuple[int, int, int]]:
         end = min(len(text), at + skip + PIECE)
         if end < len(text):
             found = _BLANK.search(text, end, end + PIECE)
-            end = found.start() if found else end
+            end = found.end() if found else end
         yield at, end, skip
-        last = text[max(at, end - PIECE) : end].rstrip(_BLANKS)
+        if end == len(text) or text[end - 1] not in _BLANKS:
+            at, skip = end, 0
+            continue
+        # The blank ends this piece's last word and begins the next one's first new feature.
+        from_ = max(at, end - PIECE)
+        last = text[from_:end].rstrip(_BLANKS)
         word = max(last.rfind(c) for c in _BLANKS) + 1
-        carried = 0 < word < len(last) and end < len(text) and text[end] in _BLANKS
-        at = max(at, end - PIECE) + word if carried else end
-        skip = end - at
+        at = from_ + word if 0 < word < len(last) else end - 1
+        skip = end - 1 - at
 
 
 def features(texts: list[str], settings: Settings) -> Iterator[tuple[int, np.ndarray]]:
