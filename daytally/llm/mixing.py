@@ -1,12 +1,15 @@
 """Mixing sources to target weights by fixed-length blocks.
 
 The words of a source, its documents in pseudorandom order, form one stream that is packed into
-blocks of a fixed length. A source's target decides how many blocks the mix takes from it. They
-are spread over the output shards by a multinomial draw, so each shard holds multinomial counts of
-every source and the totals are met exactly. A source's slots, numbered over all shards, run
-through a pseudorandom permutation of its block numbers, again and again with another permutation
-each time round: no block is taken a second time before all were taken once. Slots and blocks meet
-in a join on the block number.
+blocks of a fixed length; what is left over makes a shorter last block. A source's target decides how
+many words the mix takes: as many whole rounds of all blocks as fit, and of one more round the first
+blocks, the last of them cut, so that targets are met to the word. The full blocks of a round come in
+the order of a pseudorandom permutation, another one each round, the shorter block at its end.
+
+Slots are spread over the output shards by multinomial draws. Drawing the sources of each shard and
+then settling the totals, so that every target is met, is the same as drawing the shard of each slot
+source by source, which is what is done: counts of a shard are multinomial given its size, and sizes
+differ as draws do. Slots and blocks meet in a join on the block number.
 """
 
 from __future__ import annotations
@@ -97,13 +100,14 @@ def placed_documents(docs: DataFrame, mixture: Mix) -> tuple[DataFrame, DataFram
     inside each, so that no source has to pass one task.
     """
     spark = docs.sparkSession
-    sized = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "source", word_count(F.col("text")).alias("size"))
+    sized = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("doc_id", "text").alias("_said"))
     sized = cut_lineage(sized)
     sources = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), mixture)
     sources = cut_lineage(sources.withColumn("_blocks", F.ceil(F.col("source_size") / mixture.block)))
     chunks = max(1, sized.count() // mixture.chunk_rows)
-    order = F.xxhash64("doc_id", "size", F.lit(mixture.seed))
-    rows = sized.withColumns({"_order": order, "_chunk": F.pmod(F.xxhash64("_row"), F.lit(chunks))})
+    # By id and text: however the rows are stored, the stream of a source is the same.
+    order = F.xxhash64("_said", F.lit(mixture.seed))
+    rows = sized.withColumns({"_order": order, "_chunk": F.pmod(F.xxhash64("_said", F.lit(mixture.seed + 1)), F.lit(chunks))})
     by_chunk = rows.groupBy("source", "_chunk").agg(F.sum("size").alias("_words"))
     before = Window.partitionBy("source").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     firsts = by_chunk.select("source", "_chunk", F.coalesce(F.sum("_words").over(before), F.lit(0)).alias("_first"))
@@ -112,48 +116,66 @@ def placed_documents(docs: DataFrame, mixture: Mix) -> tuple[DataFrame, DataFram
     same = rows["source"].eqNullSafe(firsts["source"]) & (rows["_chunk"] == firsts["_chunk"])
     rows = rows.join(firsts, same, "left").select(rows["*"], (F.col("_first") + F.col("_start")).alias("_at"))
     rows = rows.join(sources.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")), "left")
-    return rows.drop("_source", "_start", "_order", "_chunk"), sources
+    return rows.drop("_source", "_start", "_order", "_chunk", "_said"), sources
 
 
 def draw_slots(sources: DataFrame, mixture: Mix) -> DataFrame:
-    """Slots of the mix: _index (source), shard, slot (in the shard's part of the source), round, block.
+    """Slots of the mix: _index (source), shard, slot (of the source), round, block and cut: the words
+    that are taken of the block's beginning, null for all of it.
 
-    Every source's blocks are dealt to the shards by one multinomial draw of its own.
+    Every source's slots are dealt to the shards by one multinomial draw of its own.
     """
-    wanted = sources.select("_index", "_blocks", F.round(F.col("target") / mixture.block).cast("long").alias("_take"))
+    block, size = F.lit(mixture.block), F.col("source_size")
+    words = F.round("target").cast("long")
+    wanted = sources.where("source_size > 0").select("_index", "source_size", "_blocks", words.alias("_words"))
+    rest = F.expr("_words % source_size")
+    wanted = wanted.withColumns({"_rounds": F.expr("_words div source_size"), "_cut": rest % block, "_some": F.floor(rest / block)})
+    take = F.col("_rounds") * F.col("_blocks") + F.col("_some") + (F.col("_cut") > 0).cast("long")
+    wanted = wanted.select("_index", "_blocks", F.floor(size / block).alias("_full"), "_cut", take.alias("_take"))
     total = wanted.agg(F.sum("_take")).first()[0] or 0
     shards = max(1, -(-total // mixture.shard_blocks))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for index, blocks, take in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for index, take in zip(*(batch.column(c).to_pylist() for c in ("_index", "_take")), strict=True):
                 rng = np.random.default_rng([mixture.seed, index])
                 counts = rng.multinomial(take, np.full(shards, 1 / shards))
                 drawn = np.flatnonzero(counts)
                 firsts = np.cumsum(counts) - counts
-                yield pa.RecordBatch.from_pydict(
-                    {"_index": np.full(len(drawn), index), "_blocks": np.full(len(drawn), blocks), "shard": drawn, "_first": firsts[drawn], "_count": counts[drawn]}
-                )
+                yield pa.RecordBatch.from_pydict({"_index": np.full(len(drawn), index), "shard": drawn, "_first": firsts[drawn], "_count": counts[drawn]})
 
-    dealt = wanted.where("_take > 0 and _blocks > 0").repartition("_index").mapInArrow(deal, "_index long, _blocks long, shard long, _first long, _count long")
-    slots = dealt.select("_index", "_blocks", "shard", F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_count") - 1)).alias("_slot"))
+    dealt = wanted.where("_take > 0").repartition("_index").mapInArrow(deal, "_index long, shard long, _first long, _count long")
+    # A row per source and shard is dealt out again before it becomes a row per slot.
+    dealt = dealt.repartition("shard", "_index").join(wanted, "_index")
+    slots = dealt.withColumn("slot", F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_count") - 1)))
     seed = mixture.seed
 
     @F.pandas_udf("long")
-    def block(slot: pd.Series, blocks: pd.Series, index: pd.Series) -> pd.Series:
-        j, n = slot.to_numpy(), blocks.to_numpy()
-        key = mix((index.to_numpy() * 1_000_003 + j // n).astype(np.uint64) + U(seed))
-        return pd.Series(permuted(j % n, n, key))
+    def place(slot: pd.Series, blocks: pd.Series, full: pd.Series, index: pd.Series) -> pd.Series:
+        j, n, most = slot.to_numpy(), blocks.to_numpy(), full.to_numpy()
+        out = j % n
+        some = out < most
+        key = mix((index.to_numpy()[some] * 1_000_003 + (j // n)[some]).astype(np.uint64) + U(seed))
+        out[some] = permuted(out[some], most[some], key)
+        return pd.Series(out)
 
-    return slots.select("_index", "shard", F.col("_slot").alias("slot"), (F.expr("_slot div _blocks")).alias("round"), block("_slot", "_blocks", "_index").alias("block"))
+    cut = F.when((F.col("slot") == F.col("_take") - 1) & (F.col("_cut") > 0), F.col("_cut"))
+    return slots.select("_index", "shard", "slot", F.expr("slot div _blocks").alias("round"), place("slot", "_blocks", "_full", "_index").alias("block"), cut.alias("cut"))
 
 
 def pieces(rows: DataFrame, mixture: Mix) -> DataFrame:
-    """Parts of documents by block: block, and the words [_from, _to) of the document in it."""
+    """Parts of documents by block: block, the words [_from, _to) of the document in it, and how many
+    words of the block stand before them."""
     first, last = F.expr(f"_at div {mixture.block}"), F.expr(f"(_at + size - 1) div {mixture.block}")
     spread = rows.withColumn("block", F.explode_outer(F.when(F.col("size") > 0, F.sequence(first, last))))
     start = F.col("block") * mixture.block - F.col("_at")
-    return spread.withColumns({"_from": F.greatest(start, F.lit(0)), "_to": F.least(start + mixture.block, F.col("size"))})
+    spread = spread.withColumns({"_from": F.greatest(start, F.lit(0)), "_to": F.least(start + mixture.block, F.col("size"))})
+    return spread.withColumn("_before", F.col("_from") - start)
+
+
+def words_of(first: Column, last: Column, before: Column, cut: Column) -> Column:
+    """How many of the words [first, last) a block gives that is cut after ``cut`` words, if it is."""
+    return F.least(last - first, F.greatest(F.coalesce(cut, before + last - first) - before, F.lit(0)))
 
 
 def mix_report(docs: DataFrame, mixture: Mix = Mix()) -> DataFrame:
@@ -163,11 +185,13 @@ def mix_report(docs: DataFrame, mixture: Mix = Mix()) -> DataFrame:
     reported each. An empty table gives no rows.
     """
     rows, sources = placed_documents(docs, mixture)
-    times = draw_slots(sources, mixture).groupBy("_index", "block").agg(F.count("*").alias("_times"))
-    parts = pieces(rows, mixture).select("_row", "doc_id", "size", "source_size", "target", "_index", "block", (F.col("_to") - F.col("_from")).alias("_words"))
-    taken = F.sum(F.coalesce(F.col("_times") * F.col("_words"), F.lit(0)))
+    whole = F.count_if(F.col("cut").isNull()).alias("_times")
+    times = draw_slots(sources, mixture).groupBy("_index", "block").agg(whole, F.max("cut").alias("_cut"))
+    parts = pieces(rows, mixture).select("_row", "doc_id", "size", "source_size", "target", "_index", "block", "_from", "_to", "_before")
     found = parts.join(times, ["_index", "block"], "left")
-    return found.groupBy("_row", "doc_id", "size", "source_size", "target").agg(taken.alias("taken")).drop("_row")
+    part = F.when(F.col("_cut").isNotNull(), words_of(F.col("_from"), F.col("_to"), F.col("_before"), F.col("_cut")))
+    words = F.coalesce(F.col("_times") * (F.col("_to") - F.col("_from")), F.lit(0)) + F.coalesce(part, F.lit(0))
+    return found.groupBy("_row", "doc_id", "size", "source_size", "target").agg(F.sum(words).alias("taken")).drop("_row")
 
 
 def word_spans(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -183,12 +207,16 @@ def mixed_documents(docs: DataFrame, mixture: Mix = Mix()) -> DataFrame:
     """The mix as documents: per row and round the words taken of it, with the columns of ``docs``.
 
     Words of neighbouring blocks stay together as they stand in the text, others are joined by a
-    line break. ``n_chars``, where there is one, is counted anew.
+    line break. ``n_chars``, where there is one, is counted anew. Documents without words, and those
+    that the mix takes no word of, are not in it. ``docs`` is read twice and has to give the same rows
+    in the same order each time, as a stored table does.
     """
     rows, sources = placed_documents(docs, mixture)
-    slots = draw_slots(sources, mixture).select("_index", "block", "round")
-    parts = pieces(rows, mixture).where("block is not null").select("_row", "_index", "block", "_from", "_to")
-    spans = parts.join(slots, ["_index", "block"]).groupBy("_row", "round").agg(F.sort_array(F.collect_list(F.struct("_from", "_to"))).alias("_spans"))
+    slots = draw_slots(sources, mixture).select("_index", "block", "round", "cut")
+    parts = pieces(rows, mixture).where("block is not null").select("_row", "_index", "block", "_from", "_to", "_before")
+    taken = parts.join(slots, ["_index", "block"])
+    taken = taken.withColumn("_to", F.col("_from") + words_of(F.col("_from"), F.col("_to"), F.col("_before"), F.col("cut"))).where("_to > _from")
+    spans = taken.groupBy("_row", "round").agg(F.sort_array(F.collect_list(F.struct("_from", "_to"))).alias("_spans"))
 
     def cut(text: pa.Array, spans: pa.Array) -> pa.Array:
         out = []

@@ -77,36 +77,35 @@ def matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows, -1) if rows else np.zeros((0, 1))
 
 
-def top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Indexes of the ``k`` greatest scores of each row, ties to smaller ids."""
-    n = scores.shape[1]
-    if n > k:
-        edge = -np.partition(-scores, k - 1, axis=1)[:, k - 1]
-        chosen = [np.flatnonzero(row >= least) for row, least in zip(scores, edge, strict=True)]
-    else:
-        chosen = [np.arange(n)] * len(scores)
-    return [c[np.lexsort((ids[c], -row[c]))][:k] for row, c in zip(scores, chosen, strict=True)]
-
-
 SCORED = pa.schema([("q", pa.int64()), ("query_id", pa.int64()), ("c", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 SCORED_SQL = "q long, query_id long, c long, vec_id long, score double"
 
 
 def best_pairs(q: np.ndarray, qid: np.ndarray, qv: np.ndarray, c: np.ndarray, cid: np.ndarray, cv: np.ndarray, k: int) -> pa.RecordBatch:
-    """The ``k`` best candidates of each query, never the query's own row."""
+    """The ``k`` best candidates of each query, never the query's own row; ties to smaller ids.
+
+    A matrix product finds all candidates whose score may reach the ``k``-th best one, given how far
+    its rounding can be off. They are scored anew, each in the same way wherever the pair meets.
+    """
     out: list[list] = [[], [], [], [], []]
+    length = np.sqrt((cv * cv).sum(axis=1)).max(initial=0.0)
+    slack = 4 * (qv.shape[1] + 2) * np.finfo(np.float64).eps * np.sqrt((qv * qv).sum(axis=1)) * length
     for at in range(0, len(q), 512):
         part = slice(at, at + 512)
         scores = qv[part] @ cv.T
         scores[q[part][:, None] == c[None, :]] = -np.inf
-        for i, found in enumerate(top(scores, cid, k)):
-            found = found[scores[i, found] > -np.inf]
+        n = scores.shape[1]
+        edge = -np.partition(-scores, k - 1, axis=1)[:, k - 1] if n > k else np.full(len(scores), -np.inf)
+        for i, least in enumerate(edge):
+            found = np.flatnonzero((scores[i] >= least - slack[at + i]) & (scores[i] > -np.inf))
+            exact_scores = (cv[found] * qv[at + i]).sum(axis=1)
+            order = np.lexsort((c[found], cid[found], -exact_scores))[:k]
+            found = found[order]
             out[0].append(np.full(len(found), q[at + i]))
             out[1].append(np.full(len(found), qid[at + i]))
             out[2].append(c[found])
             out[3].append(cid[found])
-            # Summed component by component: the same number in whatever block the pair meets.
-            out[4].append(np.einsum("ij,j->i", cv[found], qv[at + i]))
+            out[4].append(exact_scores[order])
     none = [np.zeros(0, np.int64)] * 4 + [np.zeros(0)]
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate([n, *o])) for n, o in zip(none, out, strict=True)], schema=SCORED)
 
@@ -121,21 +120,25 @@ def nearest(vectors: DataFrame, queries: Column, search: Search = Search()) -> D
     """query_id, rank, vec_id and score of the nearest found rows of each query row.
 
     ``vectors`` has vec_id and embedding; ``queries`` is a condition on it. Rows whose vector is
-    null, zero, or holds null or non-finite components take no part, nor do rows whose vector is not
-    of the most common length. Rows that share a vec_id are rows of their own.
+    null, zero, or holds null or non-finite components take no part. Vectors of different lengths have
+    no inner product: those of each length are searched among themselves. Rows that share a vec_id
+    are rows of their own.
     """
     spark = vectors.sparkSession
     path = scratch_path(spark, "vectors")
     rows = vectors.select(F.monotonically_increasing_id().alias("_row"), F.col("vec_id").cast("long").alias("vec_id"), "embedding", F.coalesce(queries, F.lit(False)).alias("_query"))
     rows.where(usable(F.col("embedding"))).write.parquet(path)
     rows = spark.read.parquet(path)
-    lengths = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    if lengths is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    length = lengths["n"]
-    rows = rows.where(F.size("embedding") == length)
-    total = rows.count()
+    counts = rows.groupBy(F.size("embedding").alias("n")).agg(F.count("*").alias("rows")).collect()  # a row per length
+    out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for found in sorted(map(tuple, counts), reverse=True):
+        part = _nearest_of_length(rows.where(F.size("embedding") == found[0]), *found, search)
+        out = part if len(counts) == 1 else out.union(part)
+    return out
+
 
+def _nearest_of_length(rows: DataFrame, length: int, total: int, search: Search) -> DataFrame:
+    spark = rows.sparkSession
     by_hash = F.xxhash64("_row", F.lit(search.seed))
     scale = np.array([r[0] for r in rows.orderBy(by_hash, "_row").limit(search.scale_rows).select("embedding").collect()], np.float64)
     rng = np.random.default_rng(search.seed)
