@@ -252,6 +252,43 @@ def test_passages_are_found_and_clean_texts_left_alone(spark):
     assert substrings.repeated_passages(frame(spark, texts).limit(0)).count() == 0
 
 
+def brute_near_passages(texts, width=46, similarity=0.8):
+    """Numbers of the texts that hold a stretch of 50 words like one of another text."""
+    sets = [[tuple(w[i : i + 5]) for i in range(len(w) - 4)] for w in map(reference_words, texts)]
+    names = {s: i for i, s in enumerate({s for t in sets for s in t})}
+    coded = [np.array([names[s] for s in t]) for t in sets]
+    found = set()
+    for i, j in itertools.combinations(range(len(coded)), 2):
+        a, b = coded[i], coded[j]
+        if len(np.intersect1d(a, b)) < 30:
+            continue
+        for shift in {int(x) - int(y) for x in range(0, len(a)) for y in np.flatnonzero(b == a[x])}:
+            lo, hi = max(0, shift), min(len(a), len(b) + shift)
+            if hi - lo < width:
+                continue
+            same = np.cumsum(np.concatenate([[0], a[lo:hi] == b[lo - shift : hi - shift]]))
+            common = (same[width:] - same[:-width]).max()
+            if common >= similarity * (2 * width - common):
+                found |= {i, j}
+    return found
+
+
+@pytest.mark.parametrize("length", [60, 80, 120])
+def test_near_passages_are_found_in_crowded_groups(spark, length):
+    """Five passages, sixty copies each that differ in one word, inside documents of their own."""
+    rng = random.Random(length)
+    texts = []
+    for group in range(5):
+        passage = [f"p{group}x{rng.randrange(10_000)}" for _ in range(length)]
+        for n in range(60):
+            edited = list(passage)
+            edited[rng.randrange(length)] = f"e{group}y{n}"
+            texts.append(" ".join([words(rng, 40, 10**6), *edited, words(rng, 40, 10**6)]))
+    near = brute_near_passages(texts)
+    found = {r["doc_id"] for r in substrings.repeated_passages(frame(spark, texts)).collect()}
+    assert found <= near and len(found) >= 0.9 * len(near)
+
+
 # --- 5 Jaccard ---
 
 
