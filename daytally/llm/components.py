@@ -7,6 +7,7 @@ joins, round by round. Both ways give the same components.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,7 +57,9 @@ def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def release(spark: SparkSession) -> None:
     """Collects the driver's garbage. Spark removes the shuffle files and checkpoints of a finished
-    round only once the driver has collected what refers to them; until then rounds pile up."""
+    round only once the driver has collected what refers to them; until then rounds pile up. Frames
+    that Python still holds in cycles count as references, so its garbage goes first."""
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 
