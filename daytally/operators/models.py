@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import asdict
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from daytally.operators.boosting import TweedieBoosting
 from daytally.operators.forest import Forest
 from daytally.operators.metrics import mean_absolute_error, require_score, wrmsse
 from daytally.operators.selection import prediction_frame
+from daytally.sources import files
 
 # The names and key prefixes that run logs use, with the boosted model first because it
 # wins a tie.
@@ -20,6 +22,9 @@ BOOSTED = "lightgbm"
 FOREST = "random_forest"
 PRIORITY = [BOOSTED, FOREST]
 PREFIX = {BOOSTED: "lgb", FOREST: "rf"}
+# Fixed value: example rows kept beside a model.
+EXAMPLES = 5
+MANIFEST = "number int, version string, stages array<string>, examples boolean"
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -64,13 +69,60 @@ def best_model(scores: DataFrame) -> DataFrame:
     return scores.withColumn("mae", mae).orderBy("mae", priority).limit(1)
 
 
-def keep_model(model: PipelineModel, path: str) -> str:
-    model.write().overwrite().save(path)
+def keep_model(model: PipelineModel, path: str, examples: DataFrame | None = None) -> str:
+    """Saves a new version of ``model`` below ``path``, with up to five example rows beside it.
+
+    The manifest row is appended last, and readers follow the manifest alone: a write that fails
+    midway leaves the version before it in force. Earlier versions stay.
+    """
+    spark = SparkSession.active()
+    number = max((r["number"] for r in versions(spark, path)), default=0) + 1
+    name = f"{number:06d}-{uuid.uuid4().hex}"
+    folder = _version_folder(path, name)
+    model.write().save(f"{folder}/model")
+    if examples is not None:
+        files.write_table(examples.limit(EXAMPLES).coalesce(1), f"{folder}/examples")
+    row = [(number, name, [type(stage).__name__ for stage in model.stages], examples is not None)]
+    spark.createDataFrame(row, MANIFEST).coalesce(1).write.mode("append").parquet(_manifest(path))
     return path
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def versions(spark: SparkSession, path: str) -> list[Row]:
+    """Manifest rows of all complete versions, oldest first; empty where nothing was kept."""
+    try:
+        rows = files.read_table(spark, _manifest(path), MANIFEST)
+    except FileNotFoundError:
+        return []
+    # One row per kept version.
+    return rows.orderBy("number", "version").collect()
+
+
+def load_model(path: str, number: int | None = None) -> PipelineModel:
+    """The newest complete version, or the one of that ``number``."""
+    return PipelineModel.load(f"{_version_folder(path, _kept(path, number)['version'])}/model")
+
+
+def example_rows(path: str, number: int | None = None) -> DataFrame:
+    """The rows kept beside a version."""
+    row = _kept(path, number)
+    if not row["examples"]:
+        raise ValueError(f"no example rows beside version {row['number']} of {path}")
+    return files.read_table(SparkSession.active(), f"{_version_folder(path, row['version'])}/examples")
+
+
+def _kept(path: str, number: int | None) -> Row:
+    rows = [r for r in versions(SparkSession.active(), path) if number in (None, r["number"])]
+    if not rows:
+        raise FileNotFoundError(f"missing input: no kept model in {path}")
+    return rows[-1]
+
+
+def _version_folder(path: str, version: str) -> str:
+    return f"{path.rstrip('/')}/versions/{version}"
+
+
+def _manifest(path: str) -> str:
+    return f"{path.rstrip('/')}/manifest"
 
 
 def run_log(

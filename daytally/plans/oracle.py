@@ -217,6 +217,32 @@ FROM (
 WHERE encoder_length = 120 AND decoder_length = 28 AND {condition}"""
 
 
+CODED = ["store_id", "item_id", "dept_id", "cat_id", "state_id", "has_event", "day_of_week", "month", "sell_price_missing"]
+CODES = f"""codes AS (
+  SELECT name, value, ROW_NUMBER() OVER (PARTITION BY name ORDER BY value) AS code
+  FROM (SELECT DISTINCT name, value FROM (
+    SELECT UNNEST([{", ".join(f"'{c}'" for c in CODED)}]) AS name, UNNEST([{", ".join(CODED)}]) AS value
+    FROM frame WHERE time_idx <= {CUT}
+  ) WHERE value IS NOT NULL)
+)"""
+SCALES = "scales AS (" + " UNION ALL ".join(
+    f"""
+  SELECT '{c}' AS name, AVG({c}) AS center,
+         CASE STDDEV_POP({c}) WHEN 0 THEN 1 ELSE STDDEV_POP({c}) END AS scale
+  FROM frame WHERE time_idx <= {CUT}"""
+    for c in ("time_idx", "sell_price")
+) + ")"
+
+
+def code_of(name: str) -> str:
+    return f"COALESCE((SELECT code FROM codes WHERE name = '{name}' AND value = frame.{name}), 0) AS {name}_code"
+
+
+def scaled_value(name: str) -> str:
+    part = f"FROM scales WHERE name = '{name}'"
+    return f"ROUND(({name} - (SELECT center {part})) / (SELECT scale {part}), 6) AS {name}_scaled"
+
+
 KEYS = "item_id, store_id, date"
 
 
@@ -419,6 +445,25 @@ FROM ahead, ends WHERE step > 0""",
     SELECT *, GREATEST(0.5 * history[22] + 0.5 * (LIST_SUM(history[22:28]) / 7), 0) AS next
     FROM ahead WHERE step < {P.HORIZON}
   )
+)""",
+    ).replace("WITH", "WITH RECURSIVE", 1),
+    "requested_forecasts": query(
+        f"""SELECT item_id, store_id, CAST(last_day + step AS DATE) AS date, ROUND(predicted, 6) AS predicted
+FROM ahead, ends WHERE step > 0""",
+        f"""requests AS (
+  SELECT item_id, store_id, (COUNT(*) % {P.REQUEST_WEEKS} + 1) * 7 AS horizon FROM daily GROUP BY item_id, store_id
+)""",
+        f"""ahead AS (
+  SELECT item_id, store_id, horizon, 0 AS step, LIST(CAST(sales AS DOUBLE) ORDER BY date) AS history,
+         CAST(NULL AS DOUBLE) AS predicted
+  FROM sales_long JOIN requests USING (item_id, store_id), ends
+  WHERE date > last_day - 28 GROUP BY item_id, store_id, horizon
+  UNION ALL
+  SELECT item_id, store_id, horizon, step + 1, LIST_APPEND(history[2:28], next), next
+  FROM (
+    SELECT *, GREATEST(0.5 * history[22] + 0.5 * (LIST_SUM(history[22:28]) / 7), 0) AS next
+    FROM ahead WHERE step < horizon
+  )
 )""",
     ).replace("WITH", "WITH RECURSIVE", 1),
     "tweedie_step": query(
@@ -444,6 +489,21 @@ FROM frame""",
         frame("featured"),
         SCALING,
     ),
+    "category_codes": query("SELECT name, value, code FROM codes", FEATURED, frame("featured"), CODES),
+    "real_scalers": query(
+        "SELECT name, ROUND(center, 6) AS center, ROUND(scale, 6) AS scale FROM scales",
+        FEATURED,
+        frame("featured"),
+        SCALES,
+    ),
+    "encoded_frame": query(
+        f"""SELECT series_id, time_idx, {", ".join(code_of(c) for c in CODED)},
+  {scaled_value("time_idx")}, {scaled_value("sell_price")} FROM frame""",
+        FEATURED,
+        frame("featured"),
+        CODES,
+        SCALES,
+    ),
     "missing_steps": query(
         """SELECT series_id, item_id, store_id, date, time_idx, step
 FROM (

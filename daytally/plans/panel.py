@@ -25,6 +25,8 @@ WEEK_BASE = 10000
 QUARTER_DAYS = 91
 HALF_DAYS = 182
 HORIZON = 28
+# Longest requested forecast, in weeks.
+REQUEST_WEEKS = 4
 
 
 # The columns of the given tables that the mapping reads; naming them saves a schema job per scan.

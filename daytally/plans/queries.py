@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from daytally.functions.columns import flag, rounded
 from daytally.functions.quantile import exact_quantile
 from daytally.functions.series import with_series_windows
-from daytally.operators import anomaly, features, forecast, metrics, models, quality
+from daytally.operators import anomaly, encoders, features, forecast, metrics, models, quality
 from daytally.operators import reshape, selection, sequences
 from daytally.operators.boosting import TweedieBoosting, tweedie_curvature, tweedie_slope
 from daytally.operators.forest import Forest
@@ -337,6 +337,31 @@ def target_scaling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(sequences.target_scaling(sequences.before_cutoff(frame)))
 
 
+def _known_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The whole sequence frame, and its rows before the cutoff."""
+    frame = cut_lineage(_sequence_rows(spark, sf_dir))
+    return frame, sequences.before_cutoff(frame)
+
+
+def category_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoders.category_codes(_known_rows(spark, sf_dir)[1])
+
+
+def real_scalers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(encoders.real_scalers(_known_rows(spark, sf_dir)[1]))
+
+
+def encoded_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes and scaled values of every row, learned on the rows before the cutoff."""
+    frame, known = _known_rows(spark, sf_dir)
+    codes = stored_table(encoders.category_codes(known), "codes")
+    scalers = stored_table(encoders.real_scalers(known), "scalers")
+    encoded = encoders.encode(frame, codes, scalers)
+    made = [f"{name}_code" for name in encoders.CATEGORIES]
+    made += [f"{name}_scaled" for name in sequences.KNOWN_REALS]
+    return rounded(encoded.select("series_id", "time_idx", *made))
+
+
 def missing_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gaps of the days with a sale, before the panel is filled."""
     daily = P.daily_units(spark, sf_dir).withColumns(
@@ -386,12 +411,25 @@ def horizon_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(forecast.step_features(history, 1).select(*ROW, *MODEL_FEATURES))
 
 
-def horizon_recursion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The forecast loop with a formula as its model: half the value a week before, half the
-    mean of the last week, both from its own earlier forecasts once those are reached."""
+def _half_model() -> PipelineModel:
+    """Half the value a week before, half the mean of the last week."""
     half = "SELECT *, 0.5D * sales_lag_7 + 0.5D * rolling_mean_7 AS prediction FROM __THIS__"
-    model = PipelineModel([SQLTransformer(statement=half)])
-    return rounded(forecast.horizon_forecast(P.sales_long(spark, sf_dir), model, P.HORIZON, cut_every=1))
+    return PipelineModel([SQLTransformer(statement=half)])
+
+
+def horizon_recursion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forecast loop with a formula as its model, which reads its own earlier forecasts once
+    those are reached."""
+    sales_long = P.sales_long(spark, sf_dir)
+    return rounded(forecast.horizon_forecast(sales_long, _half_model(), P.HORIZON, cut_every=1))
+
+
+def requested_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each series over its own horizon, one to four weeks by the number of its days with a sale."""
+    weeks = (F.count("*") % P.REQUEST_WEEKS + 1).cast("int")
+    requests = P.daily_units(spark, sf_dir).groupBy(*SERIES).agg((weeks * 7).alias("horizon"))
+    sales_long = P.sales_long(spark, sf_dir)
+    return rounded(forecast.requested_forecast(sales_long, _half_model(), requests, cut_every=1))
 
 
 def stored_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -458,11 +496,15 @@ QUERIES: dict[str, Query] = {
     "sequence_frame": sequence_frame,
     "price_fill": price_fill,
     "target_scaling": target_scaling,
+    "category_codes": category_codes,
+    "real_scalers": real_scalers,
+    "encoded_frame": encoded_frame,
     "missing_steps": missing_steps,
     "encoder_decoder_windows": encoder_decoder_windows,
     "validation_windows": validation_windows,
     "horizon_features": horizon_features,
     "horizon_recursion": horizon_recursion,
+    "requested_forecasts": requested_forecasts,
     "stored_tables": stored_tables,
     "horizon_forecast": horizon_forecast,
 }

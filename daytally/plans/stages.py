@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daytally.functions.series import MAX_SERIES_ROWS, hot_series
-from daytally.operators import models, quality, reshape, selection, sequences
+from daytally.operators import encoders, models, quality, reshape, selection, sequences
 from daytally.operators.anomaly import Z_THRESHOLD, detect
 from daytally.operators.boosting import TweedieBoosting
 from daytally.operators.features import feature_table
 from daytally.operators.forest import Forest
-from daytally.operators.forecast import horizon_forecast
+from daytally.operators.forecast import horizon_forecast, requested_forecast
 from daytally.operators.isolation import IsolationForest
 from daytally.operators.models import BOOSTED, FOREST
 from daytally.schemas import MODEL_FEATURES, PASS_THROUGH, SERIES, TARGET
@@ -89,7 +89,9 @@ class Store:
         return self.read_panel(name)
 
     def read_panel(self, name: str) -> DataFrame:
-        return self.spark.table(f"{self.schema}.{name}") if self.schema else self.read(name)
+        if self.schema:
+            return files.read_bucketed(self.spark, f"{self.schema}.{name}", self.at(name))
+        return self.read(name)
 
 
 @dataclass
@@ -174,10 +176,11 @@ def train(store: Store, settings: Settings) -> str:
     scores = store.write(models.compare(scored, train_rows, hot), "scores")
     best = models.best_model(scores).first()["model"]
 
-    models.keep_model(fitted[FOREST], store.at("models/forest"))
-    models.keep_model(fitted[best], store.at("models/best"))
+    examples = train_rows.select(*MODEL_FEATURES)
+    models.keep_model(fitted[FOREST], store.at("models/forest"), examples)
+    models.keep_model(fitted[best], store.at("models/best"), examples)
     if best == BOOSTED:
-        models.keep_model(fitted[best], store.at("models/registered"))
+        models.keep_model(fitted[best], store.at("models/registered"), examples)
     predictions = store.write(scored[best], "val_predictions")
     files.write_csv(predictions, store.at("val_predictions_csv"))
 
@@ -216,13 +219,20 @@ def find_anomalies(store: Store, settings: Settings) -> str:
 
 
 def build_sequences(store: Store, settings: Settings) -> dict[str, int]:
-    """Training and validation windows of the subset, as tables for a sequence model."""
+    """Training and validation windows of the subset, as tables for a sequence model.
+
+    Codes and scales are learned before the cutoff, stored, and applied to the rows after it as well.
+    """
     features = store.read_panel("feature_table")
     subset = selection.store_top_items(features, settings.state, settings.store, settings.top_n)
     hot = hot_series(subset, max_rows=settings.max_series_rows)
     frame = store.write(sequences.sequence_frame(subset, hot), "sequence_frame")
     sequences.require_dense(frame, hot)
     encoder, horizon = settings.encoder, settings.horizon
+    known = sequences.before_cutoff(frame, horizon)
+    codes = store.write(encoders.category_codes(known), "category_codes")
+    scalers = store.write(encoders.real_scalers(known), "real_scalers")
+    store.write(encoders.encode(frame, codes, scalers), "encoded_frame")
     training = sequences.training_windows(frame, encoder, horizon, settings.stride, hot)
     validation = sequences.validation_windows(frame, encoder, horizon)
     counts = {
@@ -250,6 +260,13 @@ def forecast_all(store: Store, settings: Settings) -> DataFrame:
     return store.write(horizon_forecast(sales_long, model, settings.horizon), "forecast")
 
 
+def forecast_requests(store: Store, requests: DataFrame) -> DataFrame:
+    """Future days of the requested series, each over its own horizon, with the kept model."""
+    model = models.load_model(store.at("models/best"))
+    sales_long = store.read_panel("sales_long")
+    return store.write(requested_forecast(sales_long, model, requests), "requested_forecast")
+
+
 def anomalies_from_csv(
     spark: SparkSession, predictions_csv: str, target_csv: str, settings: Settings = Settings()
 ) -> str:

@@ -20,6 +20,8 @@ from daytally.schemas import (
 )
 
 
+# What a bucketed table needs to be registered again from its files.
+LAYOUT = "columns string, buckets int, keys array<string>, order array<string>"
 SPARK_TYPES = {
     "string": T.StringType(),
     "int": T.IntegerType(),
@@ -112,13 +114,37 @@ def write_bucketed(
     """Catalog table over ``path``, bucketed and sorted by series.
 
     Later windows and joins on the series skip the shuffle. Hand in rows that are hashed by
-    ``keys`` into ``buckets`` partitions already: each task then writes one bucket, one file.
+    ``keys`` into ``buckets`` partitions already: each task then writes one bucket, one file. The
+    layout is kept beside the folder, so that a catalog that does not last can be told again.
     """
+    order = [*keys, "date"]
     (
         df.write.mode("overwrite")
         .option("path", path)
         .bucketBy(buckets, *keys)
-        .sortBy(*keys, "date")
+        .sortBy(*order)
         .saveAsTable(table)
     )
+    layout = df.sparkSession.createDataFrame([(_ddl(df), buckets, keys, order)], LAYOUT)
+    layout.coalesce(1).write.mode("overwrite").parquet(_layout_path(path))
     return table
+
+
+def read_bucketed(spark: SparkSession, table: str, path: str) -> DataFrame:
+    """The bucketed table; one that this catalog has not seen is registered from its kept layout."""
+    if not spark.catalog.tableExists(table):
+        layout = read_table(spark, _layout_path(path), LAYOUT).first()
+        keys, order = (", ".join(f"`{name}`" for name in layout[part]) for part in ("keys", "order"))
+        spark.sql(
+            f"CREATE TABLE {table} ({layout['columns']}) USING parquet CLUSTERED BY ({keys}) "
+            f"SORTED BY ({order}) INTO {layout['buckets']} BUCKETS LOCATION '{path}'"
+        )
+    return spark.table(table)
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def _layout_path(path: str) -> str:
+    return f"{path.rstrip('/')}_layout"

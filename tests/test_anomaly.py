@@ -10,6 +10,7 @@ from conftest import rows
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from daytally.functions import quantile
 from daytally.functions.quantile import exact_quantile
 from daytally.operators import anomaly
 from daytally.operators.isolation import IsolationForest, grow_tree, mean_path
@@ -150,3 +151,25 @@ def test_quantile_edges(spark):
     assert exact_quantile(spark.createDataFrame([(2.0,)] * 5, "x double"), "x", 0.3) == 2.0
     with pytest.raises(ValueError):
         exact_quantile(spark.createDataFrame([(2.0,)], "x double"), "x", 1.5)
+
+
+def test_quantile_takes_six_passes_on_any_values(spark, monkeypatch):
+    """Values over the whole range of doubles, among them the smallest ones and both zeros."""
+    rng = random.Random(5)
+    values = [rng.choice([-1, 1]) * rng.uniform(1, 2) * 2.0 ** rng.randrange(-1074, 1023) for _ in range(500)]
+    values += [0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308] * 3
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    passes = []
+    counted = quantile.digit_counts
+    monkeypatch.setattr(quantile, "digit_counts", lambda *a: passes.append(a) or counted(*a))
+    for rank in (0, 1, 250, len(values) // 2, len(values) - 1):
+        passes.clear()
+        got = exact_quantile(df, "x", rank / (len(values) - 1))
+        assert got == pytest.approx(sorted(values)[rank], rel=1e-9)
+        assert len(passes) <= 5
+
+
+@pytest.mark.parametrize("odd", [float("nan"), float("inf"), float("-inf")])
+def test_quantile_refuses_values_that_are_not_finite(spark, odd):
+    with pytest.raises(ValueError, match="infinite"):
+        exact_quantile(spark.createDataFrame([(1.0,), (odd,)], "x double"), "x", 0.5)

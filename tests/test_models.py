@@ -157,3 +157,68 @@ def test_forecast_matches_a_loop_over_days(spark, fitted):
         expected.append((day, values[-1]))
     full = got.filter("item_id = 'full'").orderBy("date").collect()
     assert [(r["date"], pytest.approx(r["predicted"])) for r in full] == expected
+
+
+class HalfWeek:
+    """A formula in place of a model, for the loop alone."""
+
+    def transform(self, rows):
+        return rows.withColumn("prediction", 0.5 * F.col("sales_lag_7") + 0.5 * F.col("rolling_mean_7"))
+
+
+@pytest.mark.parametrize("cut_every", [1, 3, 7])
+def test_requests_have_their_own_horizon(spark, cut_every):
+    sales = history_rows(spark).unionByName(
+        history_rows(spark).filter("item_id = 'full'").withColumn("item_id", F.lit("twin"))
+    )
+    asked = [("full", 2), ("full", 5), ("twin", 9), ("short", 3), ("nowhere", 4), ("unpriced", 0), ("unpriced", None)]
+    requests = spark.createDataFrame([(i, "s", h) for i, h in asked], "item_id string, store_id string, horizon int")
+    got = forecast.requested_forecast(sales, HalfWeek(), requests, cut_every)
+    values = [float(i % 7 + 1) for i in range(12, 40)]
+    for _ in range(9):
+        values.append(0.5 * values[-7] + 0.5 * sum(values[-7:]) / 7)
+    by_item = {}
+    for r in got.orderBy("date").collect():
+        by_item.setdefault(r["item_id"], []).append((r["date"], r["predicted"]))
+    days = [START + dt.timedelta(40 + i) for i in range(9)]
+    assert set(by_item) == {"full", "twin", "short"}
+    assert [d for d, _ in by_item["full"]] == days[:5] and [d for d, _ in by_item["twin"]] == days
+    assert [v for _, v in by_item["full"]] == pytest.approx(values[28:33])
+    assert [v for _, v in by_item["twin"]] == pytest.approx(values[28:])
+    assert [v for _, v in by_item["short"]] == [None] * 3
+    left = forecast.unanswered(sales, requests)
+    assert rows(left, "item_id", "horizon") == [("nowhere", 4), ("unpriced", 0), ("unpriced", None)]
+
+
+def test_no_request_gives_no_row(spark):
+    none = spark.createDataFrame([], "item_id string, store_id string, horizon int")
+    assert forecast.requested_forecast(history_rows(spark), HalfWeek(), none).isEmpty()
+
+
+def test_failed_write_leaves_the_version_before(spark, data, fitted, tmp_path, monkeypatch):
+    path = str(tmp_path / "kept")
+    with pytest.raises(FileNotFoundError, match="no kept model"):
+        models.load_model(path)
+    models.keep_model(fitted[FOREST], path, data.select(*MODEL_FEATURES))
+    assert models.example_rows(path).count() == 5
+    assert models.example_rows(path).columns == MODEL_FEATURES
+
+    def broken(*_):
+        raise OSError("disk gone")
+
+    # The model is written, its examples are not: no manifest row may point to it.
+    with monkeypatch.context() as patched:
+        patched.setattr(models.files, "write_table", broken)
+        with pytest.raises(OSError, match="disk gone"):
+            models.keep_model(fitted[BOOSTED], path, data)
+    assert [r["number"] for r in models.versions(spark, path)] == [1]
+    columns = ["item_id", "date", "predicted"]
+    first = rows(models.predict(fitted[FOREST], data), *columns)
+    assert rows(models.predict(models.load_model(path), data), *columns) == first
+    models.keep_model(fitted[BOOSTED], path)
+    assert [r["number"] for r in models.versions(spark, path)] == [1, 2]
+    second = rows(models.predict(fitted[BOOSTED], data), *columns)
+    assert rows(models.predict(models.load_model(path), data), *columns) == second
+    assert rows(models.predict(models.load_model(path, 1), data), *columns) == first
+    with pytest.raises(ValueError, match="no example rows"):
+        models.example_rows(path)

@@ -1,7 +1,7 @@
 import dataclasses
 
 import pytest
-from conftest import SMALL, csv_parts, rows
+from conftest import SMALL, csv_parts, plan, rows
 
 from daytally.operators import models
 from daytally.operators.boosting import TweedieBoosting
@@ -10,6 +10,7 @@ from daytally.operators.models import Forest
 from daytally.operators.quality import Limits
 from daytally.plans import panel as P
 from daytally.plans import stages
+from daytally.schemas import MODEL_FEATURES
 from daytally.sources import files
 
 SETTINGS = stages.Settings(
@@ -64,10 +65,18 @@ def test_full_run(spark, raw, tmp_path, schema):
     assert samples["n_series"] == samples["validation_samples"] == 25
     logged = dict(rows(store.read("sequence_log"), "key", "value"))
     assert logged["max_encoder_length"] == "120" and logged["n_series"] == "25"
+    encoded = store.read("encoded_frame")
+    assert encoded.count() == store.read("sequence_frame").count()
+    assert encoded.filter("item_id_code = 0 OR month_code = 0").isEmpty()
+    assert models.example_rows(store.at("models/best")).columns == MODEL_FEATURES
     # Window ends from day 120 to the cutoff less the horizon, thinned by the stride.
     assert samples["training_samples"] == 25 * len(range(119, 2499 - 2 * 28, SETTINGS.stride))
     future = stages.forecast_all(store, SETTINGS)
     assert future.count() == 125 * 28 and future.filter("predicted < 0").isEmpty()
+    asked = future.select("item_id", "store_id").distinct().limit(2).selectExpr("*", "3 AS horizon")
+    requested = stages.forecast_requests(store, asked)
+    assert requested.count() == 6
+    assert set(rows(requested, "item_id", "date", "predicted")) <= set(rows(future, "item_id", "date", "predicted"))
     target = stages.anomalies_from_csv(
         spark, store.at("val_predictions_csv"), str(tmp_path / "flags"), SETTINGS
     )
@@ -78,6 +87,20 @@ def test_full_run(spark, raw, tmp_path, schema):
     ]
 
 
+def test_bucketed_table_is_registered_again(spark, tmp_path):
+    """A catalog that has lost the table learns it from the folder, buckets included."""
+    store = stages.Store(spark, str(tmp_path / "out"), schema="default", partitions=4)
+    panel = P.sales_long(spark, SMALL).repartition(4, "item_id", "store_id")
+    before = store.write_panel(panel, "lost_panel", 0)
+    expected = before.groupBy("store_id").count().collect()
+    spark.sql("DROP TABLE default.lost_panel")
+    after = store.read_panel("lost_panel")
+    assert after.schema.simpleString() == before.schema.simpleString()
+    assert sorted(after.groupBy("store_id").count().collect()) == sorted(expected)
+    assert "Exchange" not in plan(after.groupBy("item_id", "store_id").count())
+    spark.sql("DROP TABLE default.lost_panel")
+
+
 @pytest.mark.parametrize("part", ["sales", "calendar", "prices"])
 def test_repeated_keys_stop_before_the_write(spark, raw, tmp_path, part):
     once = spark.read.option("header", True).csv(getattr(raw, part))
