@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from daytally.functions.columns import flag
 from daytally.functions.series import fill_both_ways, with_series_windows
-from daytally.schemas import ROW, require_columns
+from daytally.schemas import ROW, SERIES, require_columns
 
 # Window lengths, static and step columns of the training set.
 ENCODER = 120
@@ -19,6 +19,8 @@ KNOWN_REALS = ["time_idx", "sell_price"]
 SCALE_EPSILON = 2.0**-10
 
 GROUP = ["series_id"]
+# Window ends per stored chunk.
+CHUNK_DAYS = 512
 
 
 def sequence_frame(features: DataFrame, hot: DataFrame | None = None) -> DataFrame:
@@ -88,28 +90,91 @@ def scale_target(frame: DataFrame, scaling: DataFrame) -> DataFrame:
     return frame.join(scaling, GROUP).withColumn("sales_scaled", scaled_target(F.col("sales")))
 
 
-def _windows(
-    frame: DataFrame, encoder: int, horizon: int, hot: DataFrame | None
+def step_struct() -> Column:
+    return F.struct(*KNOWN_REALS, "sales", *KNOWN_CATEGORIES)
+
+
+def window_chunks(
+    frame: DataFrame, encoder: int = ENCODER, horizon: int = HORIZON, chunk: int = CHUNK_DAYS
 ) -> DataFrame:
-    """Rows that end a complete encoder and have a complete, gap-free decoder after them."""
-
-    def collect(w: WindowSpec) -> dict[str, Column]:
-        first = F.first("time_idx").over(w.rowsBetween(1 - encoder, 0))
-        last = F.last("time_idx").over(w.rowsBetween(1, horizon))
-        return {
-            "encoder": F.collect_list(step_struct()).over(w.rowsBetween(1 - encoder, 0)),
-            "decoder": F.collect_list(step_struct()).over(w.rowsBetween(1, horizon)),
-            "_span": last - first,
-        }
+    """The training part as arrays to cut windows from: one row per series and ``chunk`` window ends.
 
-    rows = with_series_windows(frame, collect, back=encoder - 1, ahead=horizon, hot=hot)
-    complete = (F.size("encoder") == encoder) & (F.size("decoder") == horizon)
-    dense = F.col("_span") == encoder + horizon - 1
-    return rows.filter(complete & dense).withColumnRenamed("time_idx", "encoder_end_idx")
+    A chunk holds the days of its own ends, those the first encoder reaches back to, and those of the
+    last decoder, so a step is stored about 1 + (encoder + horizon) / chunk times instead of once per
+    window. ``targets`` are the scaled sales of ``steps``. Chunks bound what a task gathers, however
+    long a series is; rows without a date are left out. Rows hashed by series are not shuffled.
+    """
+    train = before_cutoff(frame, horizon).filter("time_idx IS NOT NULL")
 
+    def of(day: Column) -> Column:
+        return F.floor(day / chunk)
 
-def step_struct() -> Column:
-    return F.struct(*KNOWN_REALS, "sales", *KNOWN_CATEGORIES)
+    reach = F.sequence(of(F.col("time_idx") - horizon), of(F.col("time_idx") + (encoder - 1)))
+    steps = F.sort_array(F.collect_list(step_struct())).alias("steps")
+    rows = train.withColumn("chunk", F.explode(reach))
+    chunks = rows.groupBy(*SERIES, *GROUP, *STATIC[2:], "chunk").agg(steps)
+    chunks = chunks.filter(F.size("steps") >= encoder + horizon).join(target_scaling(train), GROUP)
+    targets = F.transform("steps", lambda step: scaled_target(step["sales"]))
+    own = F.struct(F.lit(encoder).alias("encoder"), F.lit(horizon).alias("horizon"), F.lit(chunk).alias("days"))
+    return chunks.select(*GROUP, *STATIC, "chunk", own.alias("layout"), "target_center", "target_scale", "steps", targets.alias("targets"))
+
+
+def window_index(chunks: DataFrame, stride: int = 1) -> DataFrame:
+    """``chunks`` with ``ends``: the places in ``steps`` that end a complete, gap-free window.
+
+    A chunk counts only the ends on its own days. ``stride`` thins the ends by day index.
+    """
+    encoder, horizon, days = (F.col(f"layout.{n}") for n in ("encoder", "horizon", "days"))
+
+    def day(place: Column) -> Column:
+        return F.get("steps", place - 1)["time_idx"]
+
+    def complete(place: Column) -> Column:
+        own = F.floor(day(place) / days) == F.col("chunk")
+        dense = day(place + horizon) - day(place - encoder + 1) == encoder + horizon - 1
+        kept = F.pmod(day(place) - (encoder - 1), F.lit(stride)) == 0
+        return own & dense & kept
+
+    places = F.sequence(encoder, F.size("steps") - horizon)
+    return chunks.withColumn("ends", F.filter(places, complete))
+
+
+def cut_windows(chunks: DataFrame, stride: int = 1) -> DataFrame:
+    """The windows themselves, as slices of the chunks; nothing is shuffled."""
+    encoder, horizon = F.col("layout.encoder"), F.col("layout.horizon")
+    window = F.explode("ends").alias("_at")
+    carried = [*GROUP, *STATIC, "layout", "target_center", "target_scale", "steps", "targets"]
+    placed = window_index(chunks, stride).select(*carried, window)
+
+    def parts(values: str) -> tuple[Column, Column]:
+        back = F.slice(values, F.col("_at") - encoder + 1, encoder)
+        return back, F.slice(values, F.col("_at") + 1, horizon)
+
+    (back, ahead), (back_target, ahead_target) = parts("steps"), parts("targets")
+    return placed.select(
+        *GROUP,
+        *STATIC,
+        F.get("steps", F.col("_at") - 1)["time_idx"].alias("encoder_end_idx"),
+        encoder.alias("encoder_length"),
+        F.sequence(1 - encoder, horizon).alias("relative_idx"),
+        "target_center",
+        "target_scale",
+        back.alias("encoder"),
+        ahead.alias("decoder"),
+        back_target.alias("encoder_target"),
+        ahead_target.alias("decoder_target"),
+    )
+
+
+def training_windows(
+    frame: DataFrame, encoder: int = ENCODER, horizon: int = HORIZON, stride: int = 1
+) -> DataFrame:
+    """Every window inside the training part; ``stride`` thins the window ends by day index.
+
+    To keep windows, store ``window_chunks`` and cut them on reading: written out, a row would turn
+    up in up to encoder + horizon windows.
+    """
+    return cut_windows(window_chunks(frame, encoder, horizon), stride)
 
 
 def _described(windows: DataFrame, scaling: DataFrame, encoder: int, horizon: int) -> DataFrame:
@@ -133,25 +198,6 @@ def _described(windows: DataFrame, scaling: DataFrame, encoder: int, horizon: in
     )
 
 
-def training_windows(
-    frame: DataFrame,
-    encoder: int = ENCODER,
-    horizon: int = HORIZON,
-    stride: int = 1,
-    hot: DataFrame | None = None,
-) -> DataFrame:
-    """Every window inside the training part; ``stride`` thins the window ends by day index.
-
-    A row turns up in up to encoder + horizon windows, so write the result partition by partition
-    and raise ``stride`` when that much repetition is not wanted.
-    """
-    train = before_cutoff(frame, horizon)
-    windows = _windows(train, encoder, horizon, hot)
-    if stride > 1:
-        windows = windows.filter((F.col("encoder_end_idx") - (encoder - 1)) % stride == 0)
-    return _described(windows, target_scaling(train), encoder, horizon)
-
-
 def validation_windows(
     frame: DataFrame, encoder: int = ENCODER, horizon: int = HORIZON
 ) -> DataFrame:

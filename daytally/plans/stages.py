@@ -221,6 +221,7 @@ def find_anomalies(store: Store, settings: Settings) -> str:
 def build_sequences(store: Store, settings: Settings) -> dict[str, int]:
     """Training and validation windows of the subset, as tables for a sequence model.
 
+    Training windows are kept as chunks, see ``training_windows``.
     Codes and scales are learned before the cutoff, stored, and applied to the rows after it as well.
     """
     features = store.read_panel("feature_table")
@@ -233,10 +234,11 @@ def build_sequences(store: Store, settings: Settings) -> dict[str, int]:
     codes = store.write(encoders.category_codes(known), "category_codes")
     scalers = store.write(encoders.real_scalers(known), "real_scalers")
     store.write(encoders.encode(frame, codes, scalers), "encoded_frame")
-    training = sequences.training_windows(frame, encoder, horizon, settings.stride, hot)
+    chunks = store.write(sequences.window_chunks(frame, encoder, horizon), "training_chunks")
+    ends = sequences.window_index(chunks, settings.stride).select(F.sum(F.size("ends"))).first()[0]
     validation = sequences.validation_windows(frame, encoder, horizon)
     counts = {
-        "training_samples": store.write(training, "training_windows").count(),
+        "training_samples": ends or 0,
         "validation_samples": store.write(validation, "validation_windows").count(),
         "n_series": frame.agg(F.count_distinct("series_id")).first()[0],
     }
@@ -253,6 +255,11 @@ def build_sequences(store: Store, settings: Settings) -> dict[str, int]:
     return counts
 
 
+def training_windows(store: Store, settings: Settings) -> DataFrame:
+    """Training windows, cut out of the stored chunks."""
+    return sequences.cut_windows(store.read("training_chunks"), settings.stride)
+
+
 def forecast_all(store: Store, settings: Settings) -> DataFrame:
     """Future days of every series with the kept model."""
     model = models.load_model(store.at("models/best"))

@@ -67,10 +67,16 @@ def test_training_windows_match_brute_force(frame):
     assert row["encoder_length"] == 6 and row["relative_idx"] == list(range(-5, 4))
 
 
-def test_windows_of_hot_series(frame):
-    hot = frame.filter("series_id = 's_a'").select("item_id", "store_id").distinct()
-    got = sequences.training_windows(frame, encoder=6, horizon=3, hot=hot)
+@pytest.mark.parametrize("chunk", [1, 4, 7, 64])
+def test_chunks_give_the_same_windows(frame, chunk):
+    """However finely a long series is cut, each window turns up once, and each step only nearby."""
+    chunks = sequences.window_chunks(frame, encoder=6, horizon=3, chunk=chunk)
+    got = sequences.cut_windows(chunks)
     assert listed(got) == listed(sequences.training_windows(frame, encoder=6, horizon=3))
+    assert max(len(r["steps"]) for r in chunks.collect()) <= chunk + 6 + 3 - 1
+    for r in got.collect():
+        logs = [(math.log1p(s["sales"]) - r["target_center"]) / r["target_scale"] for s in r["encoder"]]
+        assert r["encoder_target"] == pytest.approx(logs)
 
 
 def test_stride_thins_the_ends(frame):
