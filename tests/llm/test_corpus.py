@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import math
 import random
+import time
 import re
 
 import numpy as np
@@ -139,6 +140,81 @@ def test_a_template_without_article_element_is_deduced(spark):
     assert {r["page_id"]: r["text"] for r in html_text.main_texts(df).collect()} == dict(enumerate(said))
 
 
+FOREIGN = (
+    "<html><body><div class='k1'><ul><li><a href='/'>Start {0}</a><li><a href='/x'>More {0}</a></ul></div>"
+    "<div class='k2'><div class='k3'><h1>Head {0}</h1><p>{1}</p><p>{2}</p>"
+    "<div class='k4'><a href='/r'>Also read {0}</a> <a href='/s'>and {0}</a></div><div class='k5'>All rights are ours</div></div>"
+    "{3}</div><div class='k6'>Buy {0} now</div></body></html>"
+)
+
+
+def foreign_pages(n):
+    rng = random.Random(8)
+    for i in range(n):
+        one, two = words(rng, 60), words(rng, 50)
+        box = f"<div class='k7'>Seen {i}</div>" if i % 4 else ""
+        yield i, "http://f.example/p", FOREIGN.format(i, one, two, box), f"Head {i}\n{one}\n{two}"
+
+
+def test_class_names_need_not_say_anything(spark):
+    """Menu, links, notice and advert are told from the article by classes and their slots alone."""
+    made = list(foreign_pages(12))
+    df = spark.createDataFrame([m[:3] for m in made], "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in html_text.main_texts(df).collect()} == {m[0]: m[3] for m in made}
+
+
+def host_classes(sources):
+    """Classes of a host by brute force: tokens by their counts on every page."""
+    pages = [{row[0]: row for row in html_text.page_tokens(s)} for s in sources]
+    names = ("token", "path", "above", "kind")
+    by_vector = {}
+    for token in {t for page in pages for t in page}:
+        own = [page[token] for page in pages if token in page]
+        if 2 * len(own) < len(pages):
+            continue
+        row = dict(zip(names, own[0], strict=False), pages=len(own), most=max(r[4] for r in own))
+        row |= {"at": sum(r[5] for r in own) / len(own), "chars": sum(r[6] for r in own), "linked": sum(r[7] for r in own)}
+        vector = tuple(page[token][4] if token in page else 0 for page in pages)
+        by_vector.setdefault(vector, []).append(row)
+    return [{"vector": i, "tokens": by_vector[v]} for i, v in enumerate(sorted(by_vector))]
+
+
+def test_the_template_comes_from_the_classes():
+    """With all tokens in one class, pages without the optional part no longer follow the template."""
+    rules = html_text.Deduction()
+    made = list(foreign_pages(12))
+    classes = host_classes([m[2] for m in made])
+    template = html_text.deduce(classes, len(made), rules)
+    assert [c["root"] for c in template["classes"]] == [True, False]
+    assert all(html_text.extract(m[2], template, rules) == m[3] for m in made)
+    one = [{"vector": 0, "tokens": [t for c in classes for t in c["tokens"]]}]
+    collapsed = html_text.deduce(one, len(made), rules)
+    assert sum(html_text.extract(m[2], collapsed, rules) != m[3] for m in made) == sum(m[0] % 4 == 0 for m in made)
+
+
+def test_invalid_classes_are_left_out():
+    def token(path, kind, at, above=0):
+        number = path if kind[0] == "<" else html_text.close_of(path)
+        return {"token": number, "path": path, "above": above, "kind": kind, "pages": 4, "most": 1, "at": at, "chars": 8, "linked": 0}
+
+    page = {"token": 0, "path": 0, "above": 0, "kind": "", "pages": 4, "most": 1, "at": -1, "chars": 8, "linked": 0}
+    root = {"vector": 1, "tokens": [page, token(1, "<body", 0), token(1, ">body", 9)]}
+    crossed = {"vector": 2, "tokens": [token(2, "<div", 1, 1), token(3, "<div", 2, 1), token(2, ">div", 3, 1), token(3, ">div", 4, 1)]}
+    stray = {"vector": 3, "tokens": [token(5, "<p", 5, 4), token(5, ">p", 6, 4)]}
+    sound = {"vector": 4, "tokens": [token(6, "<p", 5, 1), token(6, ">p", 6, 1)]}
+    found = html_text.valid_classes([sound, stray, crossed, root])
+    assert [c["paths"] for c in found] == [[1], [6]] and found[0]["root"]
+
+
+@pytest.mark.parametrize("tag", ["div", "p><button><div", "table><tr><td"])
+def test_depth_costs_no_more_than_length(spark, tag):
+    deep = f"<{tag}>" * 50_000 + "far in" + "</div>" * 10
+    started = time.time()
+    assert html_text.extract("<body>" + deep, None, html_text.Deduction()) == ("" if "button" in tag else "far in")
+    assert len(html_text.page_tokens(deep)) > 10_000
+    assert time.time() - started < 20
+
+
 def test_unclosed_and_broken_markup():
     rules = html_text.Deduction()
     assert html_text.extract("<article><p>a<p>b<ul><li>c<li>d</ul></article>e", None, rules) == "a\nb\nc\nd"
