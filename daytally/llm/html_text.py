@@ -452,7 +452,7 @@ def host_templates(pages: DataFrame, rules: Deduction) -> DataFrame:
         F.sum("linked").alias("linked"),
     )
     often = counted.where((F.col("pages") > 1) | (F.col("token") == PAGE) | F.col("kind").isNotNull())
-    totals = often.where(F.col("token") == PAGE).select("host", F.col("pages").alias("total"))
+    totals = pages.groupBy("host").agg(F.count("*").alias("total"))
     kept = often.join(totals, "host").where(F.col("pages") >= F.lit(rules.share) * F.col("total"))
     token = F.struct("token", "path", "above", "kind", "pages", "most", "at", "chars", "linked")
     classes = kept.groupBy("host", "total", "vector").agg(F.collect_list(token).alias("tokens"))
