@@ -211,7 +211,9 @@ def _meetings(sets: DataFrame, runs: Column, groups: DataFrame | None, join: Joi
             counted = counted.join(parents, "before", "left_semi")
         counted = cut_lineage(counted.select("path", "n"))
         members = here.join(counted, "path").select("path", "set", "n")
-        edges = searched(members.where(F.col("n") <= join.bucket), "path")
+        # Edges are few: with them written, the step's shuffle files can go before the next step's come.
+        edges = cut_lineage(searched(members.where(F.col("n") <= join.bucket), "path"))
+        release(sets.sparkSession)
         found = edges if found is None else found.union(edges)
         parents = counted.where(F.col("n") > join.bucket).select(F.col("path").alias("before"))
     # What is still large: tiles of two parts each, by hash.
@@ -229,6 +231,7 @@ def candidate_edges(sets: DataFrame, join: Join) -> DataFrame:
     run = F.col("n.run")
     first = cut_lineage(_meetings(sets, run == 0, None, join))
     groups = cut_lineage(connected_components(first))
+    release(sets.sparkSession)
     return first.union(_meetings(sets, run > 0, groups, join))
 
 
@@ -308,7 +311,9 @@ def similar_sets(docs: DataFrame, join: Join = Join()) -> tuple[DataFrame, DataF
     first = rows.where("set is not null").groupBy("set").agg(F.min("_row").alias("_row"), F.count("*").alias("copies"))
     first = cut_lineage(first)
     one_each = rows.drop("set", "doc_id").join(first, "_row")
-    clusters = cut_lineage(connected_components(candidate_edges(one_each, join)))
+    edges = cut_lineage(candidate_edges(one_each, join))
+    release(spark)
+    clusters = cut_lineage(connected_components(edges))
     release(spark)
     used = clusters.join(first, clusters["node"] == first["set"]).select("_row", "set", "copies", "component")
     tokens_path = scratch_path(spark, "jaccard-sets")
