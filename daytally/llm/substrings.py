@@ -32,6 +32,7 @@ from daytally.session import cut_lineage, drop_path, scratch_path
 
 BATCH = 1 << 19  # code points of texts whose trees grow together
 BROADCAST_ROWS = 500_000
+ROWS = 256  # pairs unpacked at once
 
 
 @dataclass(frozen=True)
@@ -194,13 +195,14 @@ def stretches(docs: DataFrame, wanted: DataFrame, passages: Passages) -> DataFra
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = texts_of(batch.column("_said"))
-            numbers, ranges = batch.column("text"), batch.column("ranges").to_pylist()
+            numbers = batch.column("text")
             for first, last in grouped(texts, BATCH):
+                ranges = batch.column("ranges").slice(first, last - first).to_pylist()
                 shingles, bounds = shingle_hashes(*word_hashes(texts[first:last]), passages.shingle)
                 out: tuple[list, ...] = ([], [], [], [])
                 for i in range(last - first):
                     own = (shingles[bounds[i] : bounds[i + 1]] >> U(32)).astype(np.uint32)
-                    for r in ranges[first + i]:
+                    for r in ranges[i]:
                         for column, value in zip(out, (numbers[first + i].as_py(), r["lo"], r["hi"], own[r["lo"] : r["hi"] + 1].tobytes()), strict=True):
                             column.append(value)
                 kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
@@ -237,19 +239,31 @@ def _dense(same: np.ndarray, passages: Passages) -> list[tuple[int, int]]:
     return list(zip(firsts.tolist(), (lasts + passages.width).tolist(), strict=True))
 
 
-def _verify(passages: Passages):
+def verified(compared: DataFrame, passages: Passages) -> DataFrame:
+    """(a, b, _in_a, _in_b): stretches of both texts that reach the similarity, for the pairs that have any.
+
+    A filter over a function's result would be moved below and run the function twice, in two Python
+    processes a core. The function leaves the other pairs out itself, and unpacks ``ROWS`` rows at a time.
+    """
     span = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
+    kinds = (pa.int64(), pa.int64(), span, span)
 
-    def verify(a: pa.Array, b: pa.Array, a_from: pa.Array, b_from: pa.Array, shifts: pa.Array) -> pa.Array:
-        ours, theirs = [], []
-        for x, y, p, q, moved in zip(a.to_pylist(), b.to_pylist(), a_from.to_pylist(), b_from.to_pylist(), shifts.to_pylist(), strict=True):
-            left, right = alike(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32), [m - p + q for m in moved], passages)
-            ours.append([{"s": s + p, "e": e + p} for s, e in left])
-            theirs.append([{"s": s + q, "e": e + q} for s, e in right])
-        return pa.StructArray.from_arrays([pa.array(ours, span), pa.array(theirs, span)], names=["a", "b"])
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, ROWS):
+                out: tuple[list, ...] = ([], [], [], [])
+                for row in zip(*(column.to_pylist() for column in batch.slice(first, ROWS).columns), strict=True):
+                    a, b, x, y, p, q, moved = row
+                    left, right = alike(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32), [m - p + q for m in moved], passages)
+                    if left:
+                        values = a, b, [{"s": s + p, "e": e + p} for s, e in left], [{"s": s + q, "e": e + q} for s, e in right]
+                        for column, value in zip(out, values, strict=True):
+                            column.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["a", "b", "_in_a", "_in_b"])
 
     kind = "array<struct<s:int,e:int>>"
-    return F.arrow_udf(verify, f"a {kind}, b {kind}")
+    rows = compared.select("a", "b", "_a", "_b", "a_from", "b_from", "shifts")
+    return rows.mapInArrow(verify, f"a long, b long, _in_a {kind}, _in_b {kind}")
 
 
 def repeated_passages(docs: DataFrame, passages: Passages = Passages()) -> DataFrame:
@@ -290,8 +304,7 @@ def repeated_passages(docs: DataFrame, passages: Passages = Passages()) -> DataF
     ours = parts.select(F.col("text").alias("a"), F.col("lo").alias("a_from"), F.col("hi").alias("a_to"), F.col("shingles").alias("_a"))
     theirs = parts.select(F.col("text").alias("b"), F.col("lo").alias("b_from"), F.col("hi").alias("b_to"), F.col("shingles").alias("_b"))
     compared = runs.join(ours, ["a", "a_from", "a_to"]).join(theirs, ["b", "b_from", "b_to"])
-    checked = compared.select("a", "b", _verify(passages)("_a", "_b", "a_from", "b_from", "shifts").alias("v")).where(F.size("v.a") > 0)
-    checked = cut_lineage(checked.select("a", "b", F.col("v.a").alias("_in_a"), F.col("v.b").alias("_in_b")))
+    checked = cut_lineage(verified(compared, passages))
     drop_path(spark, runs_path)
     drop_path(spark, parts_path)
     found = checked.select(F.col("a").alias("text"), F.explode("_in_a").alias("p")).union(checked.select("b", F.explode("_in_b")))

@@ -328,6 +328,20 @@ def test_passages_are_found_and_clean_texts_left_alone(spark):
     assert substrings.repeated_passages(frame(spark, texts).limit(0)).count() == 0
 
 
+def test_a_pair_is_verified_once(spark):
+    """The task has one Python function, whose pairs without a stretch are left out inside it."""
+    shingles = np.arange(60, dtype=np.uint32)
+    other = np.where(shingles % 2, shingles, shingles + 1000).astype(np.uint32)
+    pairs = [(1, 2, shingles.tobytes(), shingles.tobytes(), 7, 9, [-2]), (1, 3, shingles.tobytes(), other.tobytes(), 7, 9, [-2])]
+    columns = "a long, b long, _a binary, _b binary, a_from int, b_from int, shifts array<int>"
+    found = substrings.verified(spark.createDataFrame(pairs * 300, columns), substrings.Passages()).where(F.size("_in_a") > 0)
+    rows = found.collect()
+    assert len(rows) == 300 and {(r["a"], r["b"]) for r in rows} == {(1, 2)}
+    assert [tuple(x) for x in rows[0]["_in_a"]] == [(7, 67)] and [tuple(x) for x in rows[0]["_in_b"]] == [(9, 69)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan
+
+
 def brute_near_passages(texts, width=46, similarity=0.8):
     """Numbers of the texts that hold a stretch of 50 words like one of another text."""
     sets = [[tuple(w[i : i + 5]) for i in range(len(w) - 4)] for w in map(reference_words, texts)]
