@@ -17,8 +17,11 @@ from daytally.schemas import SERIES
 from daytally.session import cut_lineage
 
 MAX_SERIES_ROWS = 200_000
-MAX_HOT_SERIES = 100_000
+# Keys of about 100 bytes each.
+MAX_HOT_SERIES = 500_000
 CHUNK_ROWS = 50_000
+# Rows of one task, about, where rows are dealt by their number.
+TASK_ROWS = 250_000
 
 BuildColumns = Callable[[WindowSpec], dict[str, Column]]
 
@@ -87,22 +90,31 @@ def _chunked(
 ) -> DataFrame:
     if chunk < max(back, ahead):
         raise ValueError(f"chunk of {chunk} rows is shorter than a frame of {max(back, ahead)}")
+    tasks = -(-df.count() // TASK_ROWS)
+
+    def dealt(rows: DataFrame, *by: str) -> DataFrame:
+        """Left to AQE while the usual partitions are enough; larger ones would be sorted on disk."""
+        usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return rows.repartition(tasks, *by) if tasks > usual else rows
+
     own = F.floor(F.col("_row") / chunk)
     reach = F.array_distinct(
         F.array(own, F.floor((F.col("_row") + back) / chunk), F.floor((F.col("_row") - ahead) / chunk))
     )
-    copies = number_rows(df, keys, order).select(
+    copies = number_rows(df, keys, order, lambda rows: dealt(rows, *keys, "_month")).select(
         "*", own.alias("_own"), F.explode(reach).alias("_chunk")
     )
     spec = by_day([*keys, "_chunk"], "_row")
-    return copies.withColumns(build(spec)).filter("_own = _chunk").drop("_row", "_own", "_chunk")
+    return dealt(copies, *keys, "_chunk").withColumns(build(spec)).filter("_own = _chunk").drop("_row", "_own", "_chunk")
 
 
-def number_rows(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+def number_rows(
+    df: DataFrame, keys: list[str], order: str, deal: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> DataFrame:
     """Add ``_row``, the 0-based position in the series, without sorting a whole series.
 
     Rows are counted per month; running sums of these counts place each month, and rows are
-    numbered inside their month only.
+    numbered inside their month only. ``deal`` may spread the rows by ``keys`` and ``_month``.
     """
     month = df.withColumn("_month", month_of(order))
     before = Window.partitionBy(*keys).orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
@@ -113,7 +125,8 @@ def number_rows(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     )
     place = F.row_number().over(by_day([*keys, "_month"], order))
     return (
-        month.join(starts, [*keys, "_month"])
+        deal(month)
+        .join(starts, [*keys, "_month"])
         .withColumn("_row", F.col("_start") + place - 1)
         .drop("_month", "_start")
         .select(*df.columns, "_row")

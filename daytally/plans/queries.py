@@ -136,7 +136,7 @@ def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feature_table_hot_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table with every series treated as too long for one task."""
-    sales_long = cut_lineage(P.sales_long(spark, sf_dir))
+    sales_long = stored_table(P.sales_long(spark, sf_dir), "panel")
     hot = sales_long.select(*SERIES).distinct()
     return rounded(features.feature_table(sales_long, hot, HOT_CHUNK))
 

@@ -6,6 +6,7 @@ import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
+from daytally.functions import series
 from daytally.functions.series import fill_both_ways, hot_series, number_rows, with_series_windows
 from daytally.operators.features import FEATURES, feature_table
 from daytally.operators.metrics import series_scales
@@ -174,3 +175,12 @@ def test_scales_of_hot_series(spark, uneven):
     assert [(i, round(s, 9)) for i, s in rows(split, "item_id", "scale")] == [
         (i, round(s, 9)) for i, s in rows(plain, "item_id", "scale")
     ]
+
+
+def test_chunks_of_hot_series_are_dealt_by_their_number(spark, uneven, monkeypatch):
+    """Few shuffle partitions do not make the tasks of a large table larger."""
+    monkeypatch.setattr(series, "TASK_ROWS", 5)
+    split = feature_table(uneven, hot_series(uneven, max_rows=1), 28)
+    assert plan(split).count("REPARTITION_BY_NUM") == 2
+    columns = ["item_id", "date", "sales_lag_7", "sales_lag_28", "has_event"]
+    assert rows(split, *columns) == rows(feature_table(uneven), *columns)

@@ -55,3 +55,10 @@ def test_an_empty_panel_needs_one_task(spark, orders, tmp_path):
         spark.createDataFrame([], columns).write.parquet(f"{tmp_path}/{name}.parquet")
     assert panel.panel_tasks(spark, str(tmp_path)) == 1
     assert panel.sales_long(spark, str(tmp_path)).isEmpty()
+
+
+def test_hot_series_read_a_stored_panel(spark, orders):
+    """A checkpoint holds whole rows as they are in memory; the stored panel is columns."""
+    found = queries.feature_table_hot_series(spark, orders)
+    assert any("/panel-" in name for name in found.inputFiles())
+    assert found.count() == 120 * DAYS
