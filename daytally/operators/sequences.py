@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -21,6 +23,10 @@ SCALE_EPSILON = 2.0**-10
 GROUP = ["series_id"]
 # Window ends per stored chunk.
 CHUNK_DAYS = 512
+# Columns of the steps that windows also hold as arrays of their own.
+REALS = [*KNOWN_REALS, "sales"]
+# What the windows read of the sequence frame; the features it carries besides need not be stored.
+WINDOW_COLUMNS = [*GROUP, *STATIC, *REALS, *KNOWN_CATEGORIES]
 
 
 def sequence_frame(features: DataFrame, hot: DataFrame | None = None) -> DataFrame:
@@ -119,50 +125,59 @@ def window_chunks(
     return chunks.select(*GROUP, *STATIC, "chunk", own.alias("layout"), "target_center", "target_scale", "steps", targets.alias("targets"))
 
 
-def window_index(chunks: DataFrame, stride: int = 1) -> DataFrame:
-    """``chunks`` with ``ends``: the places in ``steps`` that end a complete, gap-free window.
-
-    A chunk counts only the ends on its own days. ``stride`` thins the ends by day index.
-    """
+def _ends(stride: int) -> tuple[Column, Callable[[Column, Column], Column]]:
+    """Places in ``steps`` that may end a window, and which of them end a complete, gap-free one, by the
+    array of day indices. A chunk counts only the ends on its own days."""
     encoder, horizon, days = (F.col(f"layout.{n}") for n in ("encoder", "horizon", "days"))
 
-    def day(place: Column) -> Column:
-        return F.get("steps", place - 1)["time_idx"]
+    def complete(place: Column, time_idx: Column) -> Column:
+        def day(at: Column) -> Column:
+            return F.get(time_idx, at - 1)
 
-    def complete(place: Column) -> Column:
         own = F.floor(day(place) / days) == F.col("chunk")
         dense = day(place + horizon) - day(place - encoder + 1) == encoder + horizon - 1
         kept = F.pmod(day(place) - (encoder - 1), F.lit(stride)) == 0
         return own & dense & kept
 
-    places = F.sequence(encoder, F.size("steps") - horizon)
-    return chunks.withColumn("ends", F.filter(places, complete))
+    return F.sequence(encoder, F.size("steps") - horizon), complete
+
+
+def window_index(chunks: DataFrame, stride: int = 1) -> DataFrame:
+    """``chunks`` with ``ends``: the places in ``steps`` that end a window. ``stride`` thins them by day index."""
+    places, complete = _ends(stride)
+    timed = chunks.withColumn("_time_idx", F.col("steps.time_idx"))
+    return timed.withColumn("ends", F.filter(places, lambda place: complete(place, F.col("_time_idx")))).drop("_time_idx")
 
 
 def cut_windows(chunks: DataFrame, stride: int = 1) -> DataFrame:
-    """The windows themselves, as slices of the chunks; nothing is shuffled."""
-    encoder, horizon = F.col("layout.encoder"), F.col("layout.horizon")
-    window = F.explode("ends").alias("_at")
-    carried = [*GROUP, *STATIC, "layout", "target_center", "target_scale", "steps", "targets"]
-    placed = window_index(chunks, stride).select(*carried, window)
+    """The windows themselves, as slices of the chunks; nothing is shuffled.
 
-    def parts(values: str) -> tuple[Column, Column]:
+    The real columns of the steps are there as arrays of their own too (``encoder_sales`` and so on), cut
+    from the chunk's array of that column. Who reads only those does not pay for slices of structs.
+    """
+    encoder, horizon = F.col("layout.encoder"), F.col("layout.horizon")
+    reals = {f"_{name}": F.col(f"steps.{name}") for name in REALS}
+    carried = [*GROUP, *STATIC, "chunk", "layout", "target_center", "target_scale", "steps", "targets", *reals]
+    places, complete = _ends(stride)
+    # Every place is a row before the choice: a filter inside an array would run uncompiled.
+    placed = chunks.withColumns(reals).select(*carried, F.explode(places).alias("_at"))
+    placed = placed.filter(complete(F.col("_at"), F.col("_time_idx")))
+
+    def parts(values: str, name: str) -> tuple[Column, Column]:
         back = F.slice(values, F.col("_at") - encoder + 1, encoder)
-        return back, F.slice(values, F.col("_at") + 1, horizon)
+        return back.alias(f"encoder{name}"), F.slice(values, F.col("_at") + 1, horizon).alias(f"decoder{name}")
 
-    (back, ahead), (back_target, ahead_target) = parts("steps"), parts("targets")
     return placed.select(
         *GROUP,
         *STATIC,
-        F.get("steps", F.col("_at") - 1)["time_idx"].alias("encoder_end_idx"),
+        F.get("_time_idx", F.col("_at") - 1).alias("encoder_end_idx"),
         encoder.alias("encoder_length"),
         F.sequence(1 - encoder, horizon).alias("relative_idx"),
         "target_center",
         "target_scale",
-        back.alias("encoder"),
-        ahead.alias("decoder"),
-        back_target.alias("encoder_target"),
-        ahead_target.alias("decoder_target"),
+        *parts("steps", ""),
+        *parts("targets", "_target"),
+        *(part for name in REALS for part in parts(f"_{name}", f"_{name}")),
     )
 
 
@@ -195,6 +210,7 @@ def _described(windows: DataFrame, scaling: DataFrame, encoder: int, horizon: in
         "decoder",
         target("encoder"),
         target("decoder"),
+        *(F.col(f"{part}.{name}").alias(f"{part}_{name}") for name in REALS for part in ("encoder", "decoder")),
     )
 
 

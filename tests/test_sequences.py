@@ -2,7 +2,7 @@ import datetime as dt
 import math
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from daytally.operators import sequences
@@ -110,3 +110,16 @@ def test_scaling_uses_training_rows_only(frame):
     assert scaling["s_a"]["target_scale"] == pytest.approx(spread + 2**-10)
     scaled = sequences.scale_target(train, sequences.target_scaling(train))
     assert scaled.filter("series_id = 's_b'").first()["sales_scaled"] == pytest.approx(0.0)
+
+
+def test_windows_hold_their_real_columns_as_arrays(frame):
+    """Whoever reads only those cuts no structs, and no place is looked at by a function inside an array."""
+    chunks = sequences.window_chunks(frame, encoder=6, horizon=3, chunk=7)
+    for got in (sequences.cut_windows(chunks), sequences.validation_windows(frame, encoder=6, horizon=3)):
+        for r in got.collect():
+            for name in sequences.REALS:
+                assert r[f"encoder_{name}"] == [s[name] for s in r["encoder"]]
+                assert r[f"decoder_{name}"] == [s[name] for s in r["decoder"]]
+    reals = sequences.cut_windows(chunks).select("encoder_end_idx", "encoder_sales", "decoder_sales", "encoder_target")
+    text = plan(reals)
+    assert "slice(steps" not in text and "filter(sequence" not in text
