@@ -27,7 +27,7 @@ HALF_DAYS = 182
 HORIZON = 28
 # Longest requested forecast, in weeks.
 REQUEST_WEEKS = 4
-# Panel rows of one task, about, so that its sorts and windows stay the same at every size.
+# Panel rows or order lines of one task, about, so that its sums, sorts and windows stay the same at every size.
 TASK_ROWS = 250_000
 
 
@@ -92,9 +92,18 @@ def sale_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Units and cents per (item, store, date) that saw a sale; partly summed before the shuffle."""
+    """Units and cents per (item, store, date) that saw a sale.
+
+    Few lines are partly summed before the shuffle. More than ``TASK_ROWS`` a core are dealt by the
+    keys before they are summed: a sum's table in memory would grow with the split read, and with
+    the rows of one of a fixed number of partitions. A hot series is spread by its days.
+    """
     sums = [F.sum(name).alias(name) for name in ("units", "cents")]
-    return sale_lines(spark, sf_dir).groupBy(*ROW).agg(*sums)
+    lines = sale_lines(spark, sf_dir)
+    tasks = -(-table(spark, sf_dir, "lineitem").count() // TASK_ROWS)
+    if tasks > spark.sparkContext.defaultParallelism:
+        lines = lines.repartition(tasks, *ROW)
+    return lines.groupBy(*ROW).agg(*sums)
 
 
 def panel_tasks(spark: SparkSession, sf_dir: str) -> int:

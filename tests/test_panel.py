@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from daytally.functions.series import by_day
 from daytally.plans import panel, queries
+from conftest import plan
 
 DAYS = 200
 
@@ -42,6 +43,18 @@ def test_tasks_hold_a_bounded_number_of_panel_rows(spark, orders, monkeypatch):
     assert sum(sizes) == 120 * DAYS and max(sizes) < 4000
 
 
+def test_sums_of_order_lines_hold_a_bounded_number_of_rows(spark, orders, monkeypatch):
+    """2,520 lines make 63 tasks; no sum runs over a split of the file before them."""
+    expected = sorted(map(tuple, panel.daily_units(spark, orders).collect()))
+    monkeypatch.setattr(panel, "TASK_ROWS", 40)
+    daily = panel.daily_units(spark, orders)
+    sizes = [r["count"] for r in daily.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 55 and max(sizes) < 120
+    assert sorted(map(tuple, daily.collect())) == expected
+    before_shuffle = plan(daily).rpartition("Exchange hashpartitioning(item_id")[2]
+    assert "HashAggregate" not in before_shuffle
+
+
 def test_stored_series_stay_dealt(spark, orders, monkeypatch):
     monkeypatch.setattr(panel, "TASK_ROWS", 1000)
     rows = queries._stored_series(panel.sales_long(spark, orders))
