@@ -6,12 +6,14 @@ are the nodes of the Cartesian tree over the hashes, and only windows at least a
 count, about two per passage width. Stretches with equal min-hashes share a window key, so a passage
 that two texts have in common gives both of them windows with equal keys, for every hash function.
 
-Windows meet by key. To keep large groups linear, the texts of a key are not compared with all others
-but with their neighbours in two orders: by what follows the min-hash, and by what stands before it.
-Whoever agrees with a text over the longest stretch on that side stands next to it, however many
-texts share the key. Anchors of a pair of texts whose intervals overlap are joined to runs, and a run
-that has keys of enough hash functions is verified on the shingles: a passage stands where a stretch
-of the least width reaches the similarity.
+Windows meet by key, first with their neighbours in two orders: by what follows the min-hash, and by
+what stands before it. Whoever agrees with a text over the longest stretch on that side stands next to
+it. Anchors of a pair of texts whose intervals overlap are joined to runs, and a run is verified on the
+shingles: a passage stands where a stretch of the least width reaches the similarity. Edits that move
+what follows them are found by the several shifts of a run.
+
+All other partners of a crowded key are compared in ``daytally.llm.crowds``: windows that are equal as
+far as a passage around the min-hash reaches are one class, and all pairs of classes are compared.
 
 Texts with the same words in order are one text from the start.
 """
@@ -27,7 +29,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daytally.llm.components import connected_components, release
-from daytally.llm.text import SHINGLE, SIMILARITY, U, grouped, mix, shingle_hashes, signed, texts_of, word_hashes
+from daytally.llm.crowds import class_passages, crowded_windows, merged_spans
+from daytally.llm.text import SHINGLE, SIMILARITY, U, grouped, mix, shingle_hashes, signed, stretch_hashes, texts_of, word_hashes
 from daytally.session import cut_lineage, drop_path, scratch_path
 
 BATCH = 1 << 19  # code points of texts whose trees grow together
@@ -108,7 +111,7 @@ def contexts(shingles: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
     return out[0], out[1]
 
 
-WINDOW_SQL = "array<struct<key:long,c:int,l:int,r:int,after:int,before:int>>"
+WINDOW_SQL = "array<struct<key:long,c:int,l:int,r:int,after:int,before:int,core:int>>"
 
 
 def described(docs: DataFrame, passages: Passages) -> DataFrame:
@@ -130,12 +133,14 @@ def described(docs: DataFrame, passages: Passages) -> DataFrame:
                 owner = np.searchsorted(bounds, place, "right") - 1
                 order = np.argsort(owner, kind="stable")
                 base = bounds[owner[order]]
+                left, right = np.minimum(place - low, passages.width - 1), np.minimum(high - place, passages.width - 1)
+                core = stretch_hashes(shingles, place - left, place + right + 1) + (left * 2 * passages.width + right).astype(np.uint64)
                 flat = pa.StructArray.from_arrays(
                     [
                         pa.array(key[order]), *(pa.array((x[order] - base).astype(np.int32)) for x in (place, low, high)),
-                        *(pa.array(x[place[order]]) for x in (after, ahead)),
+                        *(pa.array(x[place[order]]) for x in (after, ahead)), pa.array((mix(core[order]) >> U(32)).astype(np.uint32).view(np.int32)),
                     ],
-                    names=["key", "c", "l", "r", "after", "before"],
+                    names=["key", "c", "l", "r", "after", "before", "core"],
                 )
                 ends = np.searchsorted(owner[order], np.arange(last - first + 1)).astype(np.int32)
                 part = batch.slice(first, last - first)
@@ -159,7 +164,7 @@ def candidate_runs(windows: DataFrame, passages: Passages) -> DataFrame:
     """(a, b, a_from, a_to, b_from, b_to, shifts): stretches of two texts around common keys.
 
     One exchange brings the windows of a key together, sorted once for each of the two orders. Keys
-    of one text give no pair.
+    of one text give no pair. Partners that are no neighbours are met in ``class_passages``.
     """
     place = F.struct("text", "c", "l", "r")
     by_key = Window.partitionBy("key")
@@ -288,6 +293,8 @@ def repeated_passages(docs: DataFrame, passages: Passages = Passages()) -> DataF
     if first.count() <= BROADCAST_ROWS:
         windows = windows.join(F.broadcast(first.select("_row")), "_row", "left_semi")
     windows = windows.select("text", F.explode("windows").alias("w")).select("text", "w.*")
+    more, linked = class_passages(docs, crowded_windows(windows), first, passages)
+    release(spark)
     runs_path = scratch_path(spark, "runs")
     candidate_runs(windows, passages).write.parquet(runs_path)
     drop_path(spark, path)
@@ -309,21 +316,12 @@ def repeated_passages(docs: DataFrame, passages: Passages = Passages()) -> DataF
     drop_path(spark, parts_path)
     found = checked.select(F.col("a").alias("text"), F.explode("_in_a").alias("p")).union(checked.select("b", F.explode("_in_b")))
     whole = first.where("_copies > 1").select("text", F.struct(F.lit(0).alias("s"), F.col("n").alias("e")).alias("p"))
-    found = found.union(whole).select("text", "p.s", "p.e").distinct()
-    merged = _merged(found)
-    classes = cut_lineage(connected_components(checked.select("a", "b")))
+    found = found.union(whole).select("text", "p.s", "p.e").union(more).distinct()
+    merged = merged_spans(found)
+    classes = cut_lineage(connected_components(checked.select("a", "b").union(linked)))
     named = first.join(classes, first["text"] == classes["node"], "left").select("text", "_least", F.coalesce("component", "text").alias("_part"))
     least = named.groupBy("_part").agg(F.min("_least").alias("class_id"))
     named = named.join(least, "_part").select("text", "class_id")
     extra = passages.shingle - 1
     out = members.drop("n", "_row").join(merged, "text").join(named, "text")
     return out.select("doc_id", F.col("s").alias("start_word"), (F.col("e") + extra).alias("end_word"), (F.col("e") + extra - F.col("s")).alias("n_words"), "class_id")
-
-
-def _merged(spans: DataFrame) -> DataFrame:
-    """Union of overlapping spans (text, s, e) of each text."""
-    order = Window.partitionBy("text").orderBy("s", "e")
-    before = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    marked = spans.withColumn("_new", F.when(F.col("s") <= before, 0).otherwise(1))
-    marked = marked.withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return marked.groupBy("text", "_run").agg(F.min("s").alias("s"), F.max("e").alias("e")).drop("_run")

@@ -123,6 +123,14 @@ def word_hashes(texts: list[str], spans: bool = False):
     return (words, bounds, np.concatenate([none, *begins])) if spans else (words, bounds)
 
 
+def stretch_hashes(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hash of ``values`` from ``first`` to before ``last``, the same wherever they stand."""
+    power, inverse = _powers(len(values) + 1)
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * power[: len(values)], out=total[1:])
+    return mix((total[last] - total[first]) * inverse[first])
+
+
 def shingle_hashes(
     words: np.ndarray, bounds: np.ndarray, k: int = SHINGLE, short: bool = False
 ) -> tuple[np.ndarray, np.ndarray]:
