@@ -32,7 +32,7 @@ BROADCAST_ROWS = 500_000
 CLASS = ["key", "after", "before", "core"]
 TILE = 8192  # classes of one side of a tile
 SMALL = 64  # classes of a key whose pairs are counted at once, without groups
-BLOCK = 256, 512  # classes compared by groups at once
+BLOCK = 128, 512  # classes compared by groups at once
 PAIRS = 4096  # pairs counted at once
 
 
@@ -136,10 +136,12 @@ class _Search:
         return np.nonzero(best >= self.whole)
 
     def open(self, one: np.ndarray, other: np.ndarray) -> np.ndarray:
-        """Which pairs may still add a passage or a link. Two classes of only the same text never do."""
+        """Which pairs may still add a passage or a link: not those of linked texts in which all that the two
+        cores have both room for is found, nor two classes of only the same text."""
         alone = (self.text[one] == self.text[other]) & (self.last[one] == self.last[other]) & (self.text[one] == self.last[one])
-        full = (self.low == -self.left) & (self.high == self.right)
-        return ~alone & ~(full[one] & full[other] & (self.root[self.node[one]] == self.root[self.node[other]]))
+        low, high = -np.minimum(self.left[one], self.left[other]), np.minimum(self.right[one], self.right[other])
+        full = (np.maximum(self.low[one], self.low[other]) <= low) & (np.minimum(self.high[one], self.high[other]) >= high)
+        return ~alone & ~(full & (self.root[self.node[one]] == self.root[self.node[other]]))
 
     def count(self, one: np.ndarray, other: np.ndarray) -> None:
         """Compares the classes ``one`` with ``other``, as many pairs as there are."""
@@ -150,8 +152,11 @@ class _Search:
             if not len(p):
                 continue
             x = self.said[p]
-            total = np.zeros((len(p), x.shape[1] + 1), np.int16)
-            np.cumsum((x == self.said[q]) & (x > 0), axis=1, out=total[:, 1:])
+            same = (x == self.said[q]) & (x > 0)
+            enough = np.bitwise_count(np.packbits(same, axis=1)).sum(axis=1, dtype=np.int16) >= self.common
+            p, q, same = p[enough], q[enough], same[enough]
+            total = np.zeros((len(p), same.shape[1] + 1), np.int16)
+            np.cumsum(same, axis=1, out=total[:, 1:])
             starts, reach = np.arange(self.width), self.width - 1
             fits = (starts >= reach - np.minimum(self.left[p], self.left[q])[:, None]) & (starts <= np.minimum(self.right[p], self.right[q])[:, None])
             good = (total[:, self.width :] - total[:, : self.width] >= self.common) & fits
