@@ -34,7 +34,8 @@ SPACES = (9, 10, 11, 12, 13, 32)
 @dataclass(frozen=True)
 class Mix:
     """``weights`` repeat over the sources in code point order, null last. The mix has ``share``
-    times all words; a source gives at most ``limit`` times its own."""
+    times all words; a source gives at most ``limit`` times its own. ``slot_rows`` slots, about, are
+    made in a task."""
 
     weights: tuple[int, ...] = (3, 1, 2)
     share: float = 1.5
@@ -42,6 +43,7 @@ class Mix:
     block: int = 128
     shard_blocks: int = 8192
     chunk_rows: int = 20_000
+    slot_rows: int = 500_000
     seed: int = 11
 
 
@@ -145,8 +147,10 @@ def draw_slots(sources: DataFrame, mixture: Mix) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"_index": np.full(len(drawn), index), "shard": drawn, "_first": firsts[drawn], "_count": counts[drawn]})
 
     dealt = wanted.where("_take > 0").repartition("_index").mapInArrow(deal, "_index long, shard long, _first long, _count long")
-    # A row per source and shard is dealt out again before it becomes a row per slot.
-    dealt = dealt.repartition("shard", "_index").join(wanted, "_index")
+    # A row per source and shard is dealt out again before it becomes a row per slot, to a number of
+    # tasks that follows the slots: the rows are so few that AQE would join them all in one task.
+    tasks = max(1, -(-total // mixture.slot_rows))
+    dealt = dealt.join(wanted, "_index").repartition(tasks, "shard", "_index")
     slots = dealt.withColumn("slot", F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_count") - 1)))
     seed = mixture.seed
 
@@ -163,6 +167,12 @@ def draw_slots(sources: DataFrame, mixture: Mix) -> DataFrame:
     return slots.select("_index", "shard", "slot", F.expr("slot div _blocks").alias("round"), place("slot", "_blocks", "_full", "_index").alias("block"), cut.alias("cut"))
 
 
+def unbroadcast(slots: DataFrame) -> DataFrame:
+    """Slots, or counts of them, for a join with parts of documents. Their number is not known to Spark
+    before they are exploded, and AQE has sent all of them through the driver."""
+    return slots.hint("merge")
+
+
 def pieces(rows: DataFrame, mixture: Mix) -> DataFrame:
     """Parts of documents by block: block, the words [_from, _to) of the document in it, and how many
     words of the block stand before them."""
@@ -188,7 +198,9 @@ def mix_report(docs: DataFrame, mixture: Mix = Mix()) -> DataFrame:
     whole = F.count_if(F.col("cut").isNull()).alias("_times")
     times = draw_slots(sources, mixture).groupBy("_index", "block").agg(whole, F.max("cut").alias("_cut"))
     parts = pieces(rows, mixture).select("_row", "doc_id", "size", "source_size", "target", "_index", "block", "_from", "_to", "_before")
-    found = parts.join(times, ["_index", "block"], "left")
+    # Documents without words have no block; a number of their own keeps them from meeting in one task.
+    parts = parts.withColumn("block", F.coalesce("block", F.lit(-1) - F.col("_row")))
+    found = parts.join(unbroadcast(times), ["_index", "block"], "left")
     part = F.when(F.col("_cut").isNotNull(), words_of(F.col("_from"), F.col("_to"), F.col("_before"), F.col("_cut")))
     words = F.coalesce(F.col("_times") * (F.col("_to") - F.col("_from")), F.lit(0)) + F.coalesce(part, F.lit(0))
     return found.groupBy("_row", "doc_id", "size", "source_size", "target").agg(F.sum(words).alias("taken")).drop("_row")
@@ -214,7 +226,7 @@ def mixed_documents(docs: DataFrame, mixture: Mix = Mix()) -> DataFrame:
     rows, sources = placed_documents(docs, mixture)
     slots = draw_slots(sources, mixture).select("_index", "block", "round", "cut")
     parts = pieces(rows, mixture).where("block is not null").select("_row", "_index", "block", "_from", "_to", "_before")
-    taken = parts.join(slots, ["_index", "block"])
+    taken = parts.join(unbroadcast(slots), ["_index", "block"])
     taken = taken.withColumn("_to", F.col("_from") + words_of(F.col("_from"), F.col("_to"), F.col("_before"), F.col("cut"))).where("_to > _from")
     spans = taken.groupBy("_row", "round").agg(F.sort_array(F.collect_list(F.struct("_from", "_to"))).alias("_spans"))
 

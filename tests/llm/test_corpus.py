@@ -572,6 +572,20 @@ def test_mix_meets_targets(spark):
     assert mixing.mix_report(docs.limit(0), mixture).count() == 0
 
 
+def test_slots_of_the_mix_do_not_pass_the_driver_or_one_task(spark):
+    rng = random.Random(5)
+    docs = frame(spark, [words(rng, rng.randrange(1, 300)) for _ in range(60)] + [None, "", " "])
+    mixture = mixing.Mix(block=16, shard_blocks=64, slot_rows=100)
+    for build in (mixing.mix_report, mixing.mixed_documents):
+        mixed = build(docs, mixture)
+        mixed.collect()
+        ran = mixed._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        joins = [line for line in ran.splitlines() if "Join" in line and "block#" in line]
+        assert joins and all("SortMergeJoin" in line for line in joins)
+    slots = mixing.draw_slots(mixing.placed_documents(docs, mixture)[1], mixture)
+    assert slots.rdd.getNumPartitions() == -(-slots.count() // 100) > 3
+
+
 def test_small_sources_meet_their_targets_to_the_word(spark):
     """Sources of 10, 20 and 150 words, all at their limit, in blocks of 128."""
     rows = [(i, words(random.Random(i), n), "en", s, 0, "x", "y", 1) for i, (s, n) in enumerate([("a", 10), ("b", 20), ("c", 100), ("c", 50), ("d", 3000)])]
